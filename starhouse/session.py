@@ -12,7 +12,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot never compiles a method beyond 8,000 bytes: better split code than one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

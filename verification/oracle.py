@@ -323,9 +323,9 @@ ORACLE: dict[str, str] = {
     "clean_year": _sql("t_artists", "SELECT CAST(artist_id AS string) AS constituent_id, birth_year, death_year, is_living, lifespan_years FROM t_artists"),
     "standardize_gender": _sql("t_artists", "SELECT CAST(artist_id AS string) AS constituent_id, gender_clean FROM t_artists"),
     "artist_quality_score": _sql("t_artists", "SELECT artist_id, data_quality_score FROM t_artists"),
-    "assign_era": _sql("t_artworks", f"SELECT artwork_id, {_era('creation_year')} AS era FROM t_artworks WHERE creation_year IS NOT NULL"),
+    "assign_era": _sql("t_artworks", f"SELECT artwork_id, {_era('creation_year')} AS era FROM t_artworks"),
     "date_parts": _sql("t_artworks", """SELECT artwork_id, CAST(floor(creation_year / 10) * 10 AS int) AS decade, CAST(floor(creation_year / 100) AS int) AS century,
-        CAST(creation_year * 10000 + 101 AS int) AS date_key, make_date(creation_year, 1, 1) AS full_date FROM t_artworks WHERE creation_year IS NOT NULL"""),
+        CAST(creation_year * 10000 + 101 AS int) AS date_key, make_date(creation_year, 1, 1) AS full_date FROM t_artworks"""),
     "nationality_map": _sql("geo_reference", "SELECT * FROM geo_reference"),
     "customer_nationality": f"""SELECT c_custkey, {_nationality('country')} AS nationality
         FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 < 5 THEN {_COUNTRY_NAMES}[CAST(c_custkey % 10 + 1 AS int)]
@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
     "annual_resample": _sql("s_monthly", "SELECT 'CPI' AS series, year, round(avg(value), 2) AS value FROM s_monthly WHERE month <> 6 GROUP BY year"),
     "pct_change": _sql("economics", "SELECT year, inflation_rate_percent FROM economics"),
     "year_classify": _sql("t_artworks", f"""SELECT artwork_id, creation_year, {_period('creation_year')} AS economic_period,
-        {_event('creation_year')} AS major_events FROM t_artworks WHERE creation_year IS NOT NULL"""),
+        {_event('creation_year')} AS major_events FROM t_artworks"""),
     "drop_all_duplicates": _sql("requested", "SELECT display_name, wiki_qid, nationality, begin_date, end_date FROM requested"),
     "keep_first_duplicate": """SELECT l_orderkey, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
         ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) l WHERE rn = 1""",

@@ -142,12 +142,12 @@ def standardize_gender(w: Warehouse) -> DataFrame:
 
 def assign_era(w: Warehouse) -> DataFrame:
     year = F.col("creation_year")
-    return w.transformed_artworks.where(year.isNotNull()).select("artwork_id", dates.era(year).alias("era"))
+    return w.transformed_artworks.select("artwork_id", dates.era(year).alias("era"))
 
 
 def date_parts(w: Warehouse) -> DataFrame:
     year = F.col("creation_year")
-    return w.transformed_artworks.where(year.isNotNull()).select(
+    return w.transformed_artworks.select(
         "artwork_id", dates.decade(year).alias("decade"), dates.century(year).alias("century"),
         dates.date_key(year).alias("date_key"), dates.first_of_january(year).alias("full_date"),
     )
@@ -155,7 +155,7 @@ def date_parts(w: Warehouse) -> DataFrame:
 
 def year_classify(w: Warehouse) -> DataFrame:
     year = F.col("creation_year")
-    return w.transformed_artworks.where(year.isNotNull()).select(
+    return w.transformed_artworks.select(
         "artwork_id", "creation_year", dates.economic_period(year).alias("economic_period"),
         dates.major_event(year).alias("major_events"),
     )

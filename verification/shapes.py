@@ -6,8 +6,6 @@ comparison engine; where the dialects differ there are two.  All rows of the tab
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 ARTWORKS = """
 SELECT CAST(k AS string) AS object_id,
   CASE WHEN k % 50 = 0 THEN NULL ELSE 'Work ' || CAST(k AS string) END AS title,
@@ -121,23 +119,17 @@ FROM {orders} GROUP BY 1, 2
 
 SPINE = (1993, 2003)
 
-_SPARK = {
+SPARK = {
     "artworks": ARTWORKS, "artists": ARTISTS, "artwork_ids": ARTWORK_IDS_SPARK, "bindings": BINDINGS_SPARK,
     "countries": COUNTRIES, "series": SERIES, "monthly": MONTHLY,
 }
-_ORACLE = _SPARK | {"artwork_ids": ARTWORK_IDS_ORACLE, "bindings": BINDINGS_ORACLE}
-_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "documents")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+ORACLE = SPARK | {"artwork_ids": ARTWORK_IDS_ORACLE, "bindings": BINDINGS_ORACLE}
+_TABLES = ("region", "nation", "supplier", "orders", "lineitem")
 
 
-def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = _SPARK[name]
-    used = {t: table(spark, sf_dir, t) for t in _TABLES if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+def tables_of(name: str) -> list[str]:
+    return [table for table in _TABLES if "{" + table + "}" in SPARK[name]]
 
 
 def oracle_shape(name: str) -> str:
-    return _ORACLE[name].format(**{t: t for t in _TABLES}).strip()
+    return ORACLE[name].format(**{table: table for table in _TABLES}).strip()

@@ -56,12 +56,19 @@ def bindings_payload(bindings: DataFrame, key: str) -> DataFrame:
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
-
-    def shape(self, name: str) -> DataFrame:
-        return shapes.shape(self.spark, self.sf_dir, name)
+        self._tables: dict[str, DataFrame] = {}
+        self._shapes: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return shapes.table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self._tables[name]
+
+    def shape(self, name: str) -> DataFrame:
+        if name not in self._shapes:
+            tables = {table: self.table(table) for table in shapes.tables_of(name)}
+            self._shapes[name] = self.spark.sql(shapes.SPARK[name], **tables)
+        return self._shapes[name]
 
     # --- Sources -----------------------------------------------------------------------------
 
