@@ -35,6 +35,12 @@ def with_enrichment(artists: DataFrame, enrichment: DataFrame) -> DataFrame:
     )
 
 
+def artist_ids(staging: DataFrame) -> DataFrame:
+    """The ids that :func:`transform_artists` keeps, without the rest of its work."""
+    ids = staging.select(text.to_integer(F.col("constituent_id")).alias("artist_id"))
+    return ids.where(F.col("artist_id").isNotNull())
+
+
 def transform_artists(
     staging: DataFrame, enrichment: DataFrame, keep_first_by: Sequence[str] | None = None
 ) -> DataFrame:

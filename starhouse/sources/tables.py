@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse import schemas
@@ -50,11 +52,29 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def write_table(df: DataFrame, root: str, table: str) -> int:
-    """Full refresh of one table; returns its rows, counted from the written file footers."""
+@dataclass(frozen=True)
+class Written:
+    """Outcome of one table write: its rows, and per column the values that did not fit the type."""
+
+    rows: int
+    rejected: dict[str, int]
+
+
+def write_table(df: DataFrame, root: str, table: str) -> Written:
+    """Full refresh of one table.
+
+    Rejected values are observed while the rows stream to the files; rows are counted from the
+    written file footers.  Neither runs the plan a second time.
+    """
     path = table_path(root, table)
-    conform(df, table).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    typed = {name: column for name, column in _typed(df, table).items() if name in df.columns}
+    observation = Observation()
+    observed = df.observe(observation, *[
+        F.count_if(F.col(name).isNotNull() & column.isNull()).alias(name) for name, column in typed.items()
+    ])
+    conform(observed, table).write.mode("overwrite").parquet(path)
+    rejected = {name: count for name, count in observation.get.items() if count}
+    return Written(df.sparkSession.read.parquet(path).count(), rejected)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
