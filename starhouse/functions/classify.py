@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,10 +42,9 @@ def nationality(country: Column) -> Column:
 
 def _weighted(conditions: dict[str, Column], weights: dict[str, int]) -> Column:
     """Sum of the weights whose condition holds, as an exact two-digit decimal."""
-    total = F.lit(0)
-    for name, weight in weights.items():
-        total = total + F.when(conditions[name], weight).otherwise(0)
-    return (total.cast("decimal(5,0)") / F.lit(100)).cast("decimal(3,2)")
+    nothing = F.lit(Decimal("0.00"))
+    parts = [F.when(conditions[name], F.lit(Decimal(weight).scaleb(-2))).otherwise(nothing) for name, weight in weights.items()]
+    return reduce(add, parts).cast("decimal(3,2)")
 
 
 def artwork_score(

@@ -46,13 +46,16 @@ def creation_date(text: Column, runs: Column) -> Column:
 
 
 def iso_date(text: Column) -> Column:
-    """``yyyy-MM-dd`` text to a date, anything else to NULL."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text to a date, anything else to NULL.
+
+    The mask leaves only full dates to the cast, which is much faster than a format pattern.
+    """
+    return F.when(text.like("____-__-__"), text).try_cast("date")
 
 
 def life_year(text: Column) -> Column:
     """Birth or death year: numeric text cut to its whole part, kept inside the accepted years."""
-    year = to_number(text).try_cast("int")
+    year = to_number(strip(text)).try_cast("int")
     return F.when(year.between(*rules.LIFE_YEARS), year)
 
 

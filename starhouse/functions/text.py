@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from starhouse import rules
 
 # Plain decimal notation only: a bare cast to double would also take "40d", hex floats and "inf".
-_NUMERIC = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Blanks around it are left to the cast.
+_NUMERIC = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
 def strip(text: Column) -> Column:
@@ -31,13 +32,12 @@ def empty_to_null(text: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
-    stripped = strip(text)
-    return F.when(stripped.rlike(_NUMERIC), stripped).try_cast("double")
+    return F.when(text.rlike(_NUMERIC), text).try_cast("double")
 
 
 def to_integer(text: Column) -> Column:
-    """Text to int; anything that is not a whole 32-bit number becomes NULL."""
-    return strip(text).try_cast("int")
+    """Text to int, blanks around it allowed; anything that is not a whole 32-bit number becomes NULL."""
+    return text.try_cast("int")
 
 
 def contains_pattern(text: Column, pattern: str) -> Column:

@@ -33,7 +33,7 @@ def build_bridge(
     ``artworks`` restricts the works; leave it out when it was made from the same staging rows.
     """
     ids = F.filter(
-        F.transform(F.split("constituent_id", ","), lambda part: F.btrim(part).try_cast("int")),
+        F.transform(F.split("constituent_id", ","), to_integer),
         lambda listed: listed.isNotNull(),
     )
     works = (

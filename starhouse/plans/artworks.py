@@ -25,13 +25,17 @@ def with_creation_date(df: DataFrame, raw: str = "date") -> DataFrame:
 
 
 def with_dimensions(df: DataFrame) -> DataFrame:
-    """Numeric height and width; where one is missing it is read from the description."""
-    numbers = F.col("_numbers")
+    """Numeric height and width; where one is missing it is read from the description.
+
+    The description is only searched on rows that need it.
+    """
+    height, width, numbers = F.col("height_cm"), F.col("width_cm"), F.col("_numbers")
     return (
-        df.withColumn("_numbers", measures.numbers_before_cm(F.col("dimensions")))
+        df.withColumns({"height_cm": text.to_number(height), "width_cm": text.to_number(width)})
+        .withColumn("_numbers", F.when(height.isNull() | width.isNull(), measures.numbers_before_cm(F.col("dimensions"))))
         .withColumns({
-            "height_cm": F.coalesce(text.to_number(F.col("height_cm")), measures.described_measure(numbers, 2)),
-            "width_cm": F.coalesce(text.to_number(F.col("width_cm")), measures.described_measure(numbers, 1)),
+            "height_cm": F.coalesce(height, measures.described_measure(numbers, 2)),
+            "width_cm": F.coalesce(width, measures.described_measure(numbers, 1)),
         })
         .drop("_numbers")
     )
