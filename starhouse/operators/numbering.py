@@ -20,7 +20,8 @@ def numbered_by_digest(df: DataFrame, key: str, name: str = "row_no") -> DataFra
 
     A plain ``row_number()`` over everything would run in one task.  The first digest digits cut
     the rows into 4096 even buckets that are already in order; counting them gives each bucket its
-    offset (a table of at most 4096 rows) and the numbering then runs bucket by bucket.
+    offset (a table of at most 4096 rows) and the numbering then runs bucket by bucket.  Keys are
+    expected to be unique; copies of one key share a bucket.
     """
     digest = F.md5(F.col(key))
     bucketed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, _DIGEST_PREFIX))

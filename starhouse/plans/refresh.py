@@ -22,8 +22,9 @@ from starhouse.sources.tables import Written, read_table, write_table
 class Sources:
     """Paths of the landed inputs.
 
-    ``responses`` holds one JSON file per enrichment request, named by its batch number; ``series``
-    one per economic series, named as in :data:`starhouse.rules.SERIES_COLUMNS`.
+    ``responses`` holds one JSON file per enrichment request, named by its batch number; batches follow
+    from the artists (see :func:`enrichment_requests`), so both must belong to the same export.
+    ``series`` holds one file per economic series, named as in :data:`starhouse.rules.SERIES_COLUMNS`.
     """
 
     artworks: str
@@ -94,13 +95,16 @@ def run_refresh(
         "batch_no", F.col("batch_no").try_cast("bigint")
     )
     run.write({
-        "staging_enrichment": lambda: enrichment.enrich_artists(enrichment_requests(run.read("staging_artists")), responses),
+        "staging_requests": lambda: enrichment_requests(run.read("staging_artists")),
         "transformed_artworks": lambda: artworks.transform_artworks(run.read("staging_artworks")),
         "bridge_artwork_artist": lambda: linking.build_bridge(
             run.read("staging_artworks"), artists.artist_ids(run.read("staging_artists"))
         ),
         "transformed_date_economics": lambda: calendar.transform_date_economics(run.read("staging_economics")),
     })
+    run.write({
+        "staging_enrichment": lambda: enrichment.enrich_artists(run.read("staging_requests"), responses),
+    })
     run.write({
         "transformed_artists": lambda: linking.with_artist_stats(
             artists.transform_artists(run.read("staging_artists"), run.read("staging_enrichment")),

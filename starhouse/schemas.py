@@ -9,6 +9,7 @@ _LANDED = {"source_file": "string", "loaded_at": "timestamp"}
 STAGING = {
     "staging_artworks": {name: "string" for name in ARTWORK_HEADERS.values()} | _LANDED,
     "staging_artists": {name: "string" for name in ARTIST_HEADERS.values()} | _LANDED,
+    "staging_requests": {"artist_name": "string", "wikidata_id": "string", "batch_no": "bigint"},
     "staging_enrichment": {
         "artist_name": "string", "wikidata_id": "string", "movements": "array<string>",
         "bio_text": "string", "birth_place": "string", "birth_place_country": "string",
@@ -103,6 +104,7 @@ DIMENSIONAL = {
     },
 }
 
+LAYERS = {"staging": STAGING, "transformed": TRANSFORMED, "dimensional": DIMENSIONAL}
 TABLES = STAGING | TRANSFORMED | DIMENSIONAL
 
 # Columns that stamp the load itself; value comparisons leave them out.
@@ -111,6 +113,7 @@ LOAD_STAMPS = ("loaded_at", "fetched_at", "transformed_at", "created_at")
 UNIQUE_KEYS = {
     "staging_artworks": [("object_id",)],
     "staging_artists": [("constituent_id",)],
+    "staging_requests": [("wikidata_id",)],
     "staging_enrichment": [("wikidata_id",)],
     "staging_geography": [("country_name",), ("country_code_iso2",)],
     "staging_economics": [("year",)],

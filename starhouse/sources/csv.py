@@ -27,10 +27,10 @@ def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text, with the file's name and the landing order.
 
     Quoted fields may hold line breaks, so every file is one task.  Land many files, or one big
-    file through :func:`read_big_csv_text`.
+    file through :func:`read_big_csv_text`.  All files must have the same header.
     """
     return (
-        spark.read.options(header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+        spark.read.options(header=True, inferSchema=False, enforceSchema=False, multiLine=True, quote='"', escape='"')
         .csv(path)
         .withColumns({"source_file": F.col("_metadata.file_name"), LANDING_ORDER: _landing_order()})
     )

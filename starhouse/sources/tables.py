@@ -41,15 +41,12 @@ def with_keys(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
+def layer_of(table: str) -> str:
+    return next(layer for layer, tables in schemas.LAYERS.items() if table in tables)
+
+
 def table_path(root: str, table: str) -> str:
-    layer = next(
-        name
-        for name, tables in (
-            ("staging", schemas.STAGING), ("transformed", schemas.TRANSFORMED), ("dimensional", schemas.DIMENSIONAL)
-        )
-        if table in tables
-    )
-    return f"{root.rstrip('/')}/{layer}/{table}"
+    return f"{root.rstrip('/')}/{layer_of(table)}/{table}"
 
 
 @dataclass(frozen=True)
@@ -81,6 +78,15 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table))
 
 
+def register_tables(spark: SparkSession, root: str) -> None:
+    """Make the written tables known to SQL as ``staging.*``, ``transformed.*`` and ``dimensional.*``."""
+    for layer, tables in schemas.LAYERS.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+            spark.catalog.createTable(f"{layer}.{table}", path=table_path(root, table), source="parquet")
+
+
 def project_filter(df: DataFrame, columns: list[str], required: str) -> DataFrame:
     """Column list and a presence filter; both reach the file scan."""
     return df.where(F.col(required).isNotNull()).select(*columns)

@@ -43,6 +43,13 @@ def test_missing_columns_land_empty(spark, tmp_path):
     assert set(rules.ARTWORK_HEADERS.values()) <= set(row.asDict())
 
 
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ObjectID,Title\n1,x\n")
+    (tmp_path / "b.csv").write_text("Title,ObjectID\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        csv_source.land_artworks(spark, str(tmp_path)).collect()
+
+
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
 @pytest.mark.parametrize("block", [64, 1000, 10**8])
 def test_split_reading_equals_whole_reading(spark, tmp_path, newline, block):

@@ -73,6 +73,41 @@ def test_acquisition_facts(world, facts):
     ) == expected_facts(world)
 
 
+def test_hot_work_and_hot_artist_split_over_tasks(spark):
+    """One work has a third of all links and one artist another third: shuffled joins split both."""
+    works = spark.range(30_000).select(
+        F.col("id").cast("int").alias("artwork_id"), F.lit(2000).alias("acquisition_year"), F.lit(1990).alias("creation_year"),
+        F.lit("Gift").alias("acquisition_method"), F.lit("n").alias("accession_number"), F.lit(True).alias("cataloged"),
+    )
+    artists = spark.range(1, 40_001).select(
+        F.col("id").cast("int").alias("artist_id"), F.lit("french").alias("nationality"),
+        F.lit("Female").alias("gender_clean"), F.lit(True).alias("is_living"),
+    )
+    hot_work = spark.range(1, 20_001).select(F.lit(7).alias("artwork_id"), F.col("id").cast("int").alias("artist_id"))
+    hot_artist = spark.range(10_000, 30_000).select(F.col("id").cast("int").alias("artwork_id"), F.lit(5).alias("artist_id"))
+    others = spark.range(8, 10_000).select(F.col("id").cast("int").alias("artwork_id"), (F.col("id") + 20_000).cast("int").alias("artist_id"))
+    bridge = hot_work.union(hot_artist).union(others).repartition(16)
+    calendar = spark.createDataFrame([(19900101, 1990), (20000101, 2000)], "date_key int, year int")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        built = star.fact_artwork_acquisitions(works, bridge, artists, calendar)
+        rows = built.collect()
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == 20_000 + 20_000 + 9_992 + 7
+        assert sum(row["artist_id"] == 0 for row in rows) == 7 and sum(row["artist_id"] == 5 for row in rows) == 20_001
+        assert plan.count("skew=true") >= 2
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_unlinked_works_do_not_meet_the_artists(world):
     plan = star.fact_artwork_acquisitions(
         world["artworks_df"], world["bridge_df"], world["artists_df"], world["calendar_df"]

@@ -384,10 +384,30 @@ ORACLE: dict[str, str] = {
     "gate_not_null": _sql("t_artworks", " UNION ALL ".join(
         _gate(f"artworks.{name} not null", f"SELECT count(*) FROM t_artworks WHERE {name} IS NULL")
         for name in ("artwork_id", "title", "creation_year", "date_acquired"))),
+    "gate_declared": _sql("calendar d_artist d_artwork fact", " UNION ALL ".join(
+        [_gate(f"{name} unique ({key})", _repeated(source, key)) for name, source, key in (
+            ("dim_date", "calendar", "date_key"), ("dim_date", "calendar", "full_date"), ("dim_artist", "d_artist", "artist_id"),
+            ("dim_artwork", "d_artwork", "artwork_id"), ("fact_artwork_acquisitions", "fact", "acquisition_key"))]
+        + [_gate(f"{name}.{column} not null", f"SELECT count(*) FROM {source} WHERE {column} IS NULL") for name, source, columns in (
+            ("dim_date", "calendar", "date_key full_date year decade century"), ("dim_artist", "d_artist", "artist_id display_name"),
+            ("dim_artwork", "d_artwork", "artwork_id"), ("fact_artwork_acquisitions", "fact", "artwork_id artist_id"))
+           for column in columns.split()]
+        + [_gate(f"fact_artwork_acquisitions.{column} in {parent}",
+                 f"SELECT count(*) FROM fact WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {source})")
+           for column, parent, source, key in (
+            ("artwork_id", "dim_artwork", "d_artwork", "artwork_id"), ("artist_id", "dim_artist", "d_artist", "artist_id"),
+            ("acquisition_date_key", "dim_date", "calendar", "date_key"), ("creation_date_key", "dim_date", "calendar", "date_key"))])),
     "report_table_counts": _sql("calendar t_geography d_artist d_artwork fact", """SELECT (SELECT count(*) FROM calendar) AS date_records,
         (SELECT count(*) FROM t_geography) AS geography_records, (SELECT count(*) FROM d_artist) AS artist_records,
         (SELECT count(*) FROM d_artwork) AS artwork_records, (SELECT count(*) FROM fact) AS acquisitions"""),
     "report_samples": _sql("s_artworks", "SELECT object_id, title FROM s_artworks WHERE title IS NOT NULL ORDER BY CAST(object_id AS bigint) LIMIT 5"),
+    "report_name_samples": _sql("s_artists", "SELECT display_name FROM s_artists WHERE display_name IS NOT NULL ORDER BY 1 LIMIT 5"),
+    "report_country_samples": _sql("geo_reference", """SELECT country_name, country_code_iso2, continent, region, nationality
+        FROM geo_reference ORDER BY country_name LIMIT 10"""),
+    "report_influence_samples": _sql("enriched", """SELECT artist_name, influenced_by FROM enriched
+        WHERE influenced_by IS NOT NULL ORDER BY artist_name LIMIT 10"""),
+    "report_staging_counts": _sql("s_artworks s_artists", """SELECT 'staging_artworks' AS table_name, count(*) AS n FROM s_artworks
+        UNION ALL SELECT 'staging_artists', count(*) FROM s_artists"""),
     "report_movement_samples": _sql("enriched", """SELECT artist_name, movements, birth_place, birth_place_country FROM enriched
         WHERE movements IS NOT NULL ORDER BY artist_name LIMIT 10"""),
     "report_category_counts": _counts("geo_reference", "continent"),

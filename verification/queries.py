@@ -296,6 +296,18 @@ def gate_fk(w: Warehouse) -> DataFrame:
     )
 
 
+def gate_declared(w: Warehouse) -> DataFrame:
+    """All declared keys, required columns and references of the fact and its dimensions, once written."""
+    root = scratch_path(w.spark, "gated")
+    built = {
+        "dim_date": w.dim_date, "dim_artist": w.dim_artist, "dim_artwork": w.dim_artwork,
+        "fact_artwork_acquisitions": w.acquisitions,
+    }
+    for name, df in built.items():
+        tables.write_table(df, root, name)
+    return quality.declared_gates({name: tables.read_table(w.spark, root, name) for name in built})
+
+
 def gate_not_null(w: Warehouse) -> DataFrame:
     return quality.not_null(w.transformed_artworks, ["artwork_id", "title", "creation_year", "date_acquired"], "artworks")
 
@@ -314,6 +326,23 @@ def report_samples(w: Warehouse) -> DataFrame:
     return reports.sample(w.shape("artworks"), ["object_id", "title"], "title", [F.col("object_id").cast("bigint")])
 
 
+def report_name_samples(w: Warehouse) -> DataFrame:
+    return reports.sample(w.shape("artists"), ["display_name"], "display_name", ["display_name"])
+
+
+def report_country_samples(w: Warehouse) -> DataFrame:
+    columns = ["country_name", "country_code_iso2", "continent", "region", "nationality"]
+    return reports.sample(w.staging_geography, columns, "country_name", ["country_name"], 10)
+
+
+def report_influence_samples(w: Warehouse) -> DataFrame:
+    return presentable(reports.sample(w.staging_enrichment, ["artist_name", "influenced_by"], "influenced_by", ["artist_name"], 10))
+
+
+def report_staging_counts(w: Warehouse) -> DataFrame:
+    return quality.row_counts({"staging_artworks": w.shape("artworks"), "staging_artists": w.shape("artists")})
+
+
 def report_movement_samples(w: Warehouse) -> DataFrame:
     columns = ["artist_name", "movements", "birth_place", "birth_place_country"]
     return presentable(reports.sample(w.staging_enrichment, columns, "movements", ["artist_name"], 10))
@@ -406,9 +435,14 @@ QUERIES: dict[str, Build] = {
     "gate_unique": gate_unique,
     "gate_fk": gate_fk,
     "gate_not_null": gate_not_null,
+    "gate_declared": gate_declared,
     "report_table_counts": report_table_counts,
     "report_samples": report_samples,
     "report_movement_samples": report_movement_samples,
+    "report_name_samples": report_name_samples,
+    "report_country_samples": report_country_samples,
+    "report_influence_samples": report_influence_samples,
+    "report_staging_counts": report_staging_counts,
     "report_category_counts": _counts("continent", "staging_geography"),
     "report_date_certainty": _counts("date_certainty", "transformed_artworks"),
     "report_acquisition_methods": _counts("acquisition_method", "transformed_artworks"),
