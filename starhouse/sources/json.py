@@ -17,9 +17,15 @@ _COUNTRIES_SCHEMA = (
 
 
 def read_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """One row per file: its base name without extension under ``key``, its text as ``payload``."""
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
-    return spark.read.text(path, wholetext=True).select(name.alias(key), F.col("value").alias("payload"))
+    """One row per file: its name under ``key``, its text as ``payload``.
+
+    The name is that of the folder part ``key=name`` if files lie in such folders, else the file's
+    base name without extension.
+    """
+    files = spark.read.text(path, wholetext=True)
+    base_name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    name = F.col(key).cast("string") if key in files.columns else base_name
+    return files.select(name.alias(key), F.col("value").alias("payload"))
 
 
 def flatten_countries(documents: DataFrame, payload: str = "payload") -> DataFrame:
