@@ -35,33 +35,32 @@ def with_enrichment(artists: DataFrame, enrichment: DataFrame) -> DataFrame:
     )
 
 
-def artist_ids(staging: DataFrame) -> DataFrame:
-    """The ids that :func:`transform_artists` keeps, without the rest of its work."""
-    ids = staging.select(text.to_integer(F.col("constituent_id")).alias("artist_id"))
-    return ids.where(F.col("artist_id").isNotNull())
-
-
-def transform_artists(
-    staging: DataFrame, enrichment: DataFrame, keep_first_by: Sequence[str] | None = None
-) -> DataFrame:
-    """Cleaned artists.
+def clean_artists(staging: DataFrame, keep_first_by: Sequence[str] | None = None) -> DataFrame:
+    """Artists with typed id, cleaned years and gender, before any enrichment.
 
     Landed staging rows are already unique; give ``keep_first_by`` to drop repeated ids here too.
     """
-    source = staging.where(F.col("constituent_id").isNotNull()).select(*STAGING_COLUMNS)
+    source = staging.select(*STAGING_COLUMNS, text.to_integer(F.col("constituent_id")).alias("artist_id")).where(
+        F.col("artist_id").isNotNull()
+    )
     if keep_first_by is not None:
         source = keep_first(source, ["constituent_id"], keep_first_by)
-    cleaned = with_life(source).withColumn("gender_clean", classify.gender(F.col("gender")))
-    enriched = with_enrichment(cleaned, enrichment)
+    return with_life(source).withColumn("gender_clean", classify.gender(F.col("gender")))
+
+
+def transform_artists(
+    staging: DataFrame, enrichment: DataFrame, keep_first_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Cleaned artists with their enrichment and completeness score."""
+    enriched = with_enrichment(clean_artists(staging, keep_first_by), enrichment)
     score = classify.artist_score(
         F.col("birth_year"), F.col("nationality"), F.col("gender_clean"), F.col("display_name"),
         F.col("death_year"), F.col("is_living"), F.col("has_wikidata_enrichment"),
     )
     return enriched.select(
-        text.to_integer(F.col("constituent_id")).alias("artist_id"),
-        "display_name", "birth_year", "death_year", "is_living", "lifespan_years", "nationality", "gender_clean",
-        "wikidata_id", "has_wikidata_enrichment", "art_movements", "birth_place", "birth_place_country",
+        "artist_id", "display_name", "birth_year", "death_year", "is_living", "lifespan_years", "nationality",
+        "gender_clean", "wikidata_id", "has_wikidata_enrichment", "art_movements", "birth_place", "birth_place_country",
         "death_place", "education", "influenced_by",
         score.alias("data_quality_score"),
         F.current_timestamp().alias("transformed_at"),
-    ).where(F.col("artist_id").isNotNull())
+    )

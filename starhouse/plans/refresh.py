@@ -98,7 +98,7 @@ def run_refresh(
         "staging_requests": lambda: enrichment_requests(run.read("staging_artists")),
         "transformed_artworks": lambda: artworks.transform_artworks(run.read("staging_artworks")),
         "bridge_artwork_artist": lambda: linking.build_bridge(
-            run.read("staging_artworks"), artists.artist_ids(run.read("staging_artists"))
+            run.read("staging_artworks"), artists.clean_artists(run.read("staging_artists"))
         ),
         "transformed_date_economics": lambda: calendar.transform_date_economics(run.read("staging_economics")),
     })

@@ -33,14 +33,6 @@ def rejected_values(df: DataFrame, table: str) -> DataFrame:
     return counted.select(F.explode(entries).alias("e")).select("e.*")
 
 
-def with_keys(df: DataFrame, table: str) -> DataFrame:
-    """Rows whose declared key columns are all present."""
-    for key in schemas.UNIQUE_KEYS.get(table, []):
-        for column in key:
-            df = df.where(F.col(column).isNotNull())
-    return df
-
-
 def layer_of(table: str) -> str:
     return next(layer for layer, tables in schemas.LAYERS.items() if table in tables)
 

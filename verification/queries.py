@@ -133,7 +133,7 @@ def classify_acquisition_method(w: Warehouse) -> DataFrame:
 
 
 def clean_year(w: Warehouse) -> DataFrame:
-    return artists.with_life(w.shape("artists")).select("constituent_id", "birth_year", "death_year", "is_living", "lifespan_years")
+    return w.people.select("constituent_id", "birth_year", "death_year", "is_living", "lifespan_years")
 
 
 def standardize_gender(w: Warehouse) -> DataFrame:
@@ -273,7 +273,7 @@ def surrogate_key(w: Warehouse) -> DataFrame:
 
 def gate_row_counts(w: Warehouse) -> DataFrame:
     named = {
-        "transformed_artworks": w.transformed_artworks, "transformed_artists": w.cleaned_artists,
+        "transformed_artworks": w.transformed_artworks, "transformed_artists": w.people,
         "bridge_artwork_artist": w.bridge,
     }
     return quality.minimum_rows(named, rules.MINIMUM_ROWS)
@@ -290,9 +290,9 @@ def gate_unique(w: Warehouse) -> DataFrame:
 def gate_fk(w: Warehouse) -> DataFrame:
     listed = linking.listed_artists(w.shape("artwork_ids")).select(F.btrim("listed_id").try_cast("int").alias("artist_id"))
     return (
-        quality.references(w.bridge, "artist_id", w.artist_ids, "artist_id", "bridge to artists")
+        quality.references(w.bridge, "artist_id", w.people, "artist_id", "bridge to artists")
         .unionByName(quality.references(w.bridge, "artwork_id", w.transformed_artworks, "artwork_id", "bridge to artworks"))
-        .unionByName(quality.references(listed, "artist_id", w.artist_ids, "artist_id", "listed ids to artists"))
+        .unionByName(quality.references(listed, "artist_id", w.people, "artist_id", "listed ids to artists"))
     )
 
 
@@ -456,10 +456,10 @@ QUERIES: dict[str, Build] = {
     "report_collaborations": lambda w: reports.collaborations(w.bridge),
     "report_prolific": lambda w: reports.prolific_artists(w.transformed_artists),
     "report_pct_of_total": lambda w: reports.top_shares(w.transformed_artworks, "classification"),
-    "report_gender_shares": _share("gender_clean", "cleaned_artists"),
+    "report_gender_shares": _share("gender_clean", "people"),
     "report_enrichment_shares": _share("has_wikidata_enrichment", "cleaned_artists"),
     "report_status_shares": _share("fetch_status", "partly_failed_enrichment", 2),
-    "report_top_nationalities": lambda w: reports.top_nationalities(w.cleaned_artists),
+    "report_top_nationalities": lambda w: reports.top_nationalities(w.people),
     "report_era_distribution": lambda w: reports.era_distribution(w.date_economics),
     "report_calendar_summary": lambda w: reports.calendar_summary(w.date_economics),
     "report_war_or_recession": lambda w: reports.war_or_recession_years(w.date_economics),

@@ -124,17 +124,17 @@ class Warehouse:
     def transformed_artworks(self) -> DataFrame:
         return artworks.transform_artworks(self.shape("artworks"))
 
+    @cached_property
+    def people(self) -> DataFrame:
+        return artists.clean_artists(self.shape("artists"))
+
     @cached_property
     def cleaned_artists(self) -> DataFrame:
         return artists.transform_artists(self.shape("artists"), self.staging_enrichment)
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return linking.build_bridge(self.shape("artwork_ids"), self.artist_ids, self.transformed_artworks)
-
-    @cached_property
-    def artist_ids(self) -> DataFrame:
-        return self.shape("artists").select(F.col("constituent_id").try_cast("int").alias("artist_id"))
+        return linking.build_bridge(self.shape("artwork_ids"), self.people, self.transformed_artworks)
 
     @cached_property
     def transformed_artists(self) -> DataFrame:
@@ -146,13 +146,13 @@ class Warehouse:
 
     @cached_property
     def geography_input(self) -> DataFrame:
-        """Countries under the nationality that the artists carry, one row per ISO-2 code and nationality."""
+        """Countries under the nationality that the artists carry, so that counts are found."""
         return self.shape("countries").withColumn("country_name", F.btrim("country_name"))
 
     @cached_property
     def transformed_geography(self) -> DataFrame:
         return geography.transform_geography(
-            self.geography_input, self.cleaned_artists, self.bridge, self.transformed_artworks
+            self.geography_input, self.people, self.bridge, self.transformed_artworks
         )
 
     @cached_property
@@ -192,7 +192,7 @@ class Warehouse:
     @cached_property
     def acquisitions(self) -> DataFrame:
         return star.fact_artwork_acquisitions(
-            self.transformed_artworks, self.bridge, self.cleaned_artists, self.dim_date
+            self.transformed_artworks, self.bridge, self.people, self.dim_date
         )
 
     @cached_property
