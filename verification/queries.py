@@ -475,5 +475,18 @@ QUERIES: dict[str, Build] = {
 }
 
 
+_warehouses: dict[tuple[SparkSession, str], Warehouse] = {}
+
+
 def query(build: Build) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(Warehouse(spark, sf_dir))
+    """The query as a function of session and folder.
+
+    The lazy table definitions of one session and folder are built once; no data is kept.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if (spark, sf_dir) not in _warehouses:
+            _warehouses[spark, sf_dir] = Warehouse(spark, sf_dir)
+        return build(_warehouses[spark, sf_dir])
+
+    return run
