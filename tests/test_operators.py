@@ -132,6 +132,20 @@ def test_enrichment_collects_in_response_order(spark):
     assert rows["Q3"]["api_response_json"] == RESPONSES[0][1] and rows["Q4"]["api_response_json"] is None
 
 
+def test_entity_with_a_third_of_all_bindings(spark):
+    """Copies of a label combine before the shuffle; order of first appearance stays."""
+    label = F.concat(F.lit("m"), ((F.col("pos") * 7) % 11).cast("string"))
+    hot = spark.range(15_000).select(F.lit("Q0").alias("qid"), F.col("id").cast("int").alias("pos"))
+    cold = spark.range(30_000).select(F.concat(F.lit("Q"), F.col("id") + 1).alias("qid"), F.lit(0).alias("pos"))
+    empty = {name: F.lit(None).cast("string") for name in ("education", "influenced_by", "birth_place_country", "death_place", "bio_text")}
+    bindings = hot.union(cold).withColumns({"movement": label, "birth_place": F.concat(F.lit("b"), "pos")} | empty).repartition(8)
+    collected = enrichment.collect_bindings(bindings)
+    assert collected.count() == 30_001
+    row = collected.where("qid = 'Q0'").first()
+    assert row["movements"] == [f"m{pos * 7 % 11}" for pos in range(11)] and row["birth_place"] == "b0"
+    assert row["education"] is None and row["influenced_by"] is None
+
+
 def test_single_response_variant(spark):
     many = [binding("Q1", movementLabel=f"m{n:02}") for n in range(25)]
     responses = spark.createDataFrame(

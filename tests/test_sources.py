@@ -112,6 +112,13 @@ def test_tables_conform_and_report_rejects(spark, tmp_path):
     assert again.rows == 1
 
 
+def test_empty_table_is_written(spark, tmp_path):
+    nothing = spark.range(10).where(F.lit(False)).select(F.col("id").alias("batch_no"))
+    written = tables.write_table(nothing, str(tmp_path), "staging_requests")
+    assert written.rows == 0 and written.rejected == {}
+    assert tables.read_table(spark, str(tmp_path), "staging_requests").columns == ["artist_name", "wikidata_id", "batch_no"]
+
+
 def test_projection_and_filter_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).select("id", F.lit("x").alias("wide"), F.col("id").alias("other")).write.parquet(path)
