@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starhouse.llm import language_id
+from starhouse.llm import decontamination, language_id
 from starhouse.llm.common import table
 
 
@@ -20,8 +21,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+        decontamination.items_digest().alias("items_sha256"), decontamination.contaminated().alias("contaminated"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
+    "op4_decontamination": op4_decontamination,
 }
 
 LLM_ORACLE: dict[str, str] = {}
