@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import decontamination, language_id
-from starhouse.llm.common import table
+from starhouse.llm import decontamination, language_id, mixing, sharding
+from starhouse.llm.common import stored, table
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +30,28 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = stored(mixing.sizes(table(spark, sf_dir, "documents")), "sizes")
+    targets = stored(mixing.capped_targets(mixing.cyclic_weights(sized)), "targets")
+    taken = mixing.take(sized, mixing.plan(sized, targets)).alias("d")
+    return taken.join(F.broadcast(targets.alias("t")), F.col("d.source").eqNullSafe(F.col("t.source")), "left").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shard(docs, order=["doc_id", "text_crc32", "size"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op7_mixing": op7_mixing,
+    "op8_sharding": op8_sharding,
 }
 
 LLM_ORACLE: dict[str, str] = {}
