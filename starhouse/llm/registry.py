@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import decontamination, language_id, mixing, sharding
+from starhouse.llm import decontamination, language_id, mixing, near_dedup, sharding
 from starhouse.llm.common import stored, table
 
 
@@ -47,11 +47,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 LLM_ORACLE: dict[str, str] = {}
