@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import decontamination, language_id, mixing, near_dedup, sharding
+from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, sharding
 from starhouse.llm.common import stored, table
 
 
@@ -51,12 +51,17 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
+    "op10_nearest": op10_nearest,
 }
 
 LLM_ORACLE: dict[str, str] = {}
