@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, sharding
+from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, personal_data, sharding
 from starhouse.llm.common import stored, table
 
 
@@ -30,6 +30,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.detect(docs, personal_data.learn(docs))
+    counts = [personal_data.count_of("found.base", kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal_data.listed(F.col("found.base")), 256).alias("base_sha256"),
+        personal_data.listed(F.col("found.spans")).alias("spans"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = stored(mixing.sizes(table(spark, sf_dir, "documents")), "sizes")
     targets = stored(mixing.capped_targets(mixing.cyclic_weights(sized)), "targets")
@@ -58,6 +67,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op6_personal_data": op6_personal_data,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
