@@ -285,11 +285,12 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int = 20) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int = 20, lengths: str | None = None) -> DataFrame:
     """Documents without benchmark passages, with the columns of ``docs``.
 
     A document goes if its coverage reaches the limit (see ``contaminated``); of any other, the hit spans
-    are cut out of the text. Documents without a hit stay as they are, null and empty texts too.
+    are cut out of the text, and the column ``lengths``, if named, becomes the new text's number of characters.
+    Documents without a hit stay as they are, null and empty texts too.
     """
     names = docs.columns
     found = find(docs.select(F.struct(*map(quoted, names)).alias("doc"), quoted(text).alias("text")), benchmark)
@@ -297,13 +298,24 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            spans = batch.column(2).to_pylist()
             texts = [
-                cut_spans(value, [(x["first"], x["last"]) for x in spans]) if spans else value
-                for value, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+                cut_spans(value, [(x["first"], x["last"]) for x in own]) if own else value
+                for value, own in zip(batch.column(1).to_pylist(), spans, strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc", "text"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.string()), pa.array(list(map(bool, spans)))], names=["doc", "text", "changed"])
 
     narrow = left.select("doc", "text", "found.spans")
-    schema = T.StructType([narrow.schema["doc"], T.StructField("text", T.StringType())])
-    done = narrow.mapInArrow(cut, schema)
-    return done.select(*[F.col("text").alias(x) if x == text else F.col("doc").getField(x).alias(x) for x in names])
+    changed = T.StructField("changed", T.BooleanType())
+    done = narrow.mapInArrow(cut, T.StructType([narrow.schema["doc"], T.StructField("text", T.StringType()), changed]))
+
+    def column(name: str):
+        old = F.col("doc").getField(name)
+        if name == text:
+            return F.col("text").alias(name)
+        if name == lengths:
+            return F.when(F.col("changed"), F.length("text").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return done.select(*map(column, names))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, personal_data, sharding
 from starhouse.llm.common import stored, table
 
@@ -72,6 +73,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
     "op10_nearest": op10_nearest,
+    "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
