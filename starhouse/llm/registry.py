@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, personal_data, sharding
+from starhouse.llm import license_query, url_queries
 from starhouse.llm.common import stored, table
 
 
@@ -66,6 +67,8 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": license_query.op1_licenses,
+    "op2_url_filters": url_queries.op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op6_personal_data": op6_personal_data,
@@ -76,4 +79,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+LLM_ORACLE: dict[str, str] = {
+    "op1_licenses": license_query.ORACLE,
+    "op2_url_filters": url_queries.ORACLE,
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
