@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starhouse.llm import decontamination, language_id, mixing, near_dedup, nearest, personal_data, sharding
+from starhouse.llm import decontamination, language_id, line_dedup, mixing, near_dedup, nearest, personal_data, sharding
 from starhouse.llm import license_query, url_queries
 from starhouse.llm.common import stored, table
 
@@ -32,6 +32,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    dropped = stored(line_dedup.duplicate_lines(docs), "dropped")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    return docs.select("doc_id", F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines")).join(dropped, "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped_lines"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data.detect(docs, personal_data.learn(docs))
@@ -71,6 +80,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_queries.op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
