@@ -28,8 +28,18 @@ _RESPONSE_SCHEMA = (
 )
 
 
+# JSON texts that hold nothing: a response of that kind counts as none.
+_NOTHING = r'^\s*(\{\s*\}|\[\s*\]|null|false|0|"")\s*$'
+
+
+def is_answer(payload: Column) -> Column:
+    """Whether a response is whole JSON that holds something; error pages and truncated texts are not."""
+    return F.coalesce(F.try_parse_json(payload).isNotNull() & ~F.rlike(payload, F.lit(_NOTHING)), F.lit(False))
+
+
 def parsed_response(payload: Column) -> Column:
-    return F.from_json(payload, _RESPONSE_SCHEMA)
+    """NULL for anything that is no answer, so that no half of a truncated text is used."""
+    return F.from_json(F.when(is_answer(payload), payload), _RESPONSE_SCHEMA)
 
 
 def binding_rows(responses: DataFrame, key: str, payload: str = "payload") -> DataFrame:
@@ -46,17 +56,27 @@ def binding_rows(responses: DataFrame, key: str, payload: str = "payload") -> Da
 
 
 def single_binding_rows(responses: DataFrame, qid: str = "qid", payload: str = "payload") -> DataFrame:
-    """Bindings of responses that were asked for one entity each; only the leading ones count."""
+    """Bindings of responses that were asked for one entity each."""
     exploded = responses.select(
         F.col(qid).alias("qid"), F.posexplode(parsed_response(F.col(payload))["results"]["bindings"]).alias("pos", "b")
     )
     labels = [F.col(f"b.{variable}.value").alias(name) for variable, name in _VARIABLES.items()]
-    return exploded.where(F.col("pos") < rules.SINGLE_RESPONSE_LIMIT).select("qid", "pos", *labels)
+    return exploded.select("qid", "pos", *labels)
 
 
-def only_requested(bindings: DataFrame, requests: DataFrame, on: list[str]) -> DataFrame:
-    """Drop bindings of entities that their request did not ask for."""
-    return bindings.join(requests.select(*on), on, "left_semi")
+def only_requested(bindings: DataFrame, requests: DataFrame) -> DataFrame:
+    """Drop bindings of entities that no request asked for.
+
+    Which request brought them does not matter: batch numbers shift when the artists do.
+    """
+    return bindings.join(requests.select("qid"), "qid", "left_semi")
+
+
+def unrequested_bindings(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """Gate: bindings of entities that no request asked for, as answers to an older export have them."""
+    asked = requests.select(F.col("wikidata_id").alias("qid"))
+    foreign = binding_rows(responses, "batch_no").join(asked, "qid", "left_anti")
+    return foreign.agg(F.count("*").alias("failures")).select(F.lit("bindings nobody asked for").alias("check"), "failures")
 
 
 def collect_bindings(bindings: DataFrame) -> DataFrame:
@@ -113,23 +133,28 @@ def enrich_artists(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Enrichment table from batched requests and their landed responses.
 
     ``requests``: artist_name, wikidata_id (unique), batch_no.  ``responses``: batch_no, payload
-    (JSON text, NULL when the request failed).
+    (JSON text, NULL when the request failed).  The texts stay in a table of their own, one row per
+    batch, see :func:`raw_responses`; an artist has the number of its batch.
     """
     asked = requests.select("artist_name", F.col("wikidata_id").alias("qid"), "batch_no")
-    details = collect_bindings(only_requested(binding_rows(responses, "batch_no"), asked, ["batch_no", "qid"]))
-    answered = responses.where(parsed_response(F.col("payload")).isNotNull()).select("batch_no", "payload")
+    found = collect_bindings(only_requested(binding_rows(responses, "batch_no"), asked)).withColumn("_bound", F.lit(True))
+    answered = responses.where(is_answer(F.col("payload"))).select("batch_no", F.lit(True).alias("_answered")).distinct()
+    responded = F.col("_bound").isNotNull() | F.col("_answered").isNotNull()
     return (
-        asked.join(details, "qid", "left")
+        asked.join(found, "qid", "left")
         .join(answered, "batch_no", "left")
         .select(
-            "artist_name", F.col("qid").alias("wikidata_id"), *DETAIL_COLUMNS,
-            F.col("payload").alias("api_response_json"),
-            F.current_timestamp().alias("fetched_at"),
-            fetch_status(F.col("payload").isNotNull()).alias("fetch_status"),
+            "artist_name", F.col("qid").alias("wikidata_id"), *DETAIL_COLUMNS, "batch_no",
+            F.current_timestamp().alias("fetched_at"), fetch_status(responded).alias("fetch_status"),
         )
     )
 
 
+def raw_responses(responses: DataFrame) -> DataFrame:
+    """The landed text of every answered batch, once."""
+    return responses.where(is_answer(F.col("payload"))).select("batch_no", F.col("payload").alias("api_response_json"))
+
+
 def enrich_artists_singly(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Variant with one response per entity: any binding at all counts as success.
 
@@ -137,7 +162,7 @@ def enrich_artists_singly(requests: DataFrame, responses: DataFrame) -> DataFram
     """
     asked = requests.select("artist_name", F.col("wikidata_id").alias("qid"))
     details = collect_bindings(single_binding_rows(responses)).withColumn("_bound", F.lit(True))
-    answered = responses.where(parsed_response(F.col("payload")).isNotNull()).select("qid", "payload")
+    answered = responses.where(is_answer(F.col("payload"))).select("qid", "payload")
     bound = F.col("_bound").isNotNull()
     return (
         asked.join(details, "qid", "left")

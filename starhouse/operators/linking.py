@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def bad_artist_ids(staging_artworks: DataFrame) -> DataFrame:
 
 
 def build_bridge(
-    staging_artworks: DataFrame, artists: DataFrame, artworks: DataFrame | None = None
+    staging_artworks: DataFrame, artists: DataFrame, artworks: DataFrame | None = None, carry: Sequence[str] = ()
 ) -> DataFrame:
     """``artwork_id, artist_id, artists_total`` with one row per pair.
 
@@ -30,7 +32,8 @@ def build_bridge(
     ones happen on the array, before it becomes rows: neither needs a shuffle.  ``artists_total``
     counts every listed id, also the repeated ones and those of unknown artists, which then drop out.
 
-    ``artworks`` restricts the works; leave it out when it was made from the same staging rows.
+    ``artworks`` restricts the works; leave it out when it was made from the same staging rows.  Its columns
+    ``carry`` come along, which saves :func:`artist_stats` a second join.
     """
     ids = F.filter(
         F.transform(F.split("constituent_id", ","), to_integer),
@@ -42,17 +45,20 @@ def build_bridge(
         .where(F.col("artwork_id").isNotNull())
     )
     if artworks is not None:
-        works = works.join(artworks.select("artwork_id"), "artwork_id", "left_semi")
+        works = works.join(artworks.select("artwork_id", *carry), "artwork_id")
     pairs = works.select(
-        "artwork_id", F.explode(F.array_distinct("_ids")).alias("artist_id"), F.size("_ids").alias("artists_total")
+        "artwork_id", F.explode(F.array_distinct("_ids")).alias("artist_id"), F.size("_ids").alias("artists_total"), *carry
     )
     known = pairs.join(artists.select("artist_id"), "artist_id", "left_semi")
-    return known.select("artwork_id", "artist_id", "artists_total")
+    return known.select("artwork_id", "artist_id", "artists_total", *carry)
+
 
+def artist_stats(bridge: DataFrame, artworks: DataFrame | None = None) -> DataFrame:
+    """Works and acquisition years per artist; the bridge holds each pair once, so rows are works.
 
-def artist_stats(bridge: DataFrame, artworks: DataFrame) -> DataFrame:
-    """Works and acquisition years per artist; the bridge holds each pair once, so rows are works."""
-    dated = bridge.select("artwork_id", "artist_id").join(
+    ``artworks`` may be left out if the bridge carries ``acquisition_year``.
+    """
+    dated = bridge if artworks is None else bridge.select("artwork_id", "artist_id").join(
         artworks.select("artwork_id", "acquisition_year"), "artwork_id", "left"
     )
     return dated.groupBy("artist_id").agg(
@@ -62,7 +68,7 @@ def artist_stats(bridge: DataFrame, artworks: DataFrame) -> DataFrame:
     )
 
 
-def with_artist_stats(artists: DataFrame, bridge: DataFrame, artworks: DataFrame) -> DataFrame:
+def with_artist_stats(artists: DataFrame, bridge: DataFrame, artworks: DataFrame | None = None) -> DataFrame:
     """Artists with their statistics filled in; replaces columns of the same name."""
     stats = artist_stats(bridge, artworks)
     bare = artists.drop(*[name for name in stats.columns if name != "artist_id"])

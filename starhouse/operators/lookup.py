@@ -5,27 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Calendar years that a date can hold.  A table with one row per such year cannot outgrow a broadcast.
-_CALENDAR = (1, 9999)
 _NULL_BUCKETS = 4096
 
 
-def calendar_lookup(dim_date: DataFrame, key: str, value: str) -> DataFrame:
-    """Broadcast ``key -> value`` lookup over the date dimension.
+def with_calendar_value(df: DataFrame, key: Column, dim_date: DataFrame, by: str, value: str, name: str) -> DataFrame:
+    """Left join of a column of the date dimension; NULL where the key has no date row.
 
-    Filtering to calendar years and grouping by the year bounds the lookup at 9,999 rows whatever
-    is passed in, which is what makes the broadcast safe.
+    The dimension is joined as it is: its gate keeps it unique, and adaptive execution broadcasts it by its measured size.
     """
-    bounded = (
-        dim_date.where(F.col("year").between(*_CALENDAR))
-        .groupBy("year")
-        .agg(F.min("date_key").alias("date_key"))
-    )
-    return F.broadcast(bounded.select(F.col(key).alias("_lookup"), F.col(value).alias("_found")))
-
-
-def with_calendar_value(df: DataFrame, key: Column, lookup: DataFrame, name: str) -> DataFrame:
-    """Left join of a lookup made by :func:`calendar_lookup`; NULL where the key has no date row."""
+    lookup = dim_date.select(F.col(by).alias("_lookup"), F.col(value).alias("_found"))
     return df.join(lookup, key == F.col("_lookup"), "left").withColumn(name, F.col("_found")).drop("_lookup", "_found")
 
 

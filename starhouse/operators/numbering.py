@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starhouse import rules
 
-_DIGEST_PREFIX = 3  # hex digits, so 4096 buckets
+#: Rows that one task numbers, about: the digest prefix that makes the buckets has as many hex digits as that takes.
+BUCKET_ROWS = 50_000
 
 
 def composite_key(high: Column, low: Column) -> Column:
@@ -19,12 +22,13 @@ def numbered_by_digest(df: DataFrame, key: str, name: str = "row_no") -> DataFra
     """Number the rows 1..n in the order of ``md5(key), key``.
 
     A plain ``row_number()`` over everything would run in one task.  The first digest digits cut
-    the rows into 4096 even buckets that are already in order; counting them gives each bucket its
-    offset (a table of at most 4096 rows) and the numbering then runs bucket by bucket.  Keys are
-    expected to be unique; copies of one key share a bucket.
+    the rows into even buckets that are already in order; counting them gives each bucket its
+    offset and the numbering then runs bucket by bucket.  Keys are expected to be unique; copies of one
+    key share a bucket.
     """
+    digits = max(1, math.ceil(math.log(max(df.count(), 1) / BUCKET_ROWS, 16)))
     digest = F.md5(F.col(key))
-    bucketed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, _DIGEST_PREFIX))
+    bucketed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
@@ -34,7 +38,7 @@ def numbered_by_digest(df: DataFrame, key: str, name: str = "row_no") -> DataFra
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", key))
     return (
         bucketed.withColumn("_within", within)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .withColumn(name, F.col("_offset") + F.col("_within"))
         .drop("_bucket", "_digest", "_within", "_offset")
     )

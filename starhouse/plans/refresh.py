@@ -4,26 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
+from types import MappingProxyType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse import rules
-from starhouse.operators import economics, enrichment, linking, numbering, quality
+from starhouse.operators import economics, enrichment, linking, numbering, quality, rejects
 from starhouse.operators.dedup import drop_repeated
 from starhouse.plans import artists, artworks, calendar, geography, star
 from starhouse.sources import csv, json
-from starhouse.sources.tables import Written, read_table, write_table
+from starhouse.sources.tables import Written, publish_tables, read_table, write_table
+
+#: Rows left out, and values that do not fit, that stop a refresh unless it allows more. What repeats a key is only reported.
+STRICT = {rejects.NO_KEY: 0, rejects.BAD_KEY: 0, rejects.BAD_LIST_ID: 0, "rejected value": 0, "bindings nobody asked for": 0}
 
 
 @dataclass(frozen=True)
 class Sources:
     """Paths of the landed inputs.
 
-    ``responses`` holds one JSON file per enrichment request, named by its batch number; batches follow
-    from the artists (see :func:`enrichment_requests`), so both must belong to the same export.
+    ``responses`` holds one JSON file per enrichment request, named by its batch number.  Artists are found in
+    whatever batch has them, but only those of the same export are all asked for (see :func:`enrichment_requests`).
+    ``artwork_columns`` names the header of one big artworks file, which is then read by many tasks; without it, a
+    file is one task.
     ``series`` holds one file per economic series, named as in :data:`starhouse.rules.SERIES_COLUMNS`.
     """
 
@@ -32,22 +38,46 @@ class Sources:
     countries: str
     series: str
     responses: str
+    artwork_columns: tuple[str, ...] | None = None
 
 
 class _Refresh:
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
+    """Tables are written beside the live ones, and published together once every gate has passed."""
+
+    def __init__(self, spark: SparkSession, root: str, allowed: Mapping[str, int]) -> None:
+        self.spark, self.root, self.staged = spark, root, f"{root.rstrip('/')}/_next"
+        self.allowed = STRICT | dict(allowed)
         self.written: dict[str, Written] = {}
 
     def write(self, builds: Mapping[str, Callable[[], DataFrame]]) -> None:
         """Write tables that do not depend on each other at the same time."""
         with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-            jobs = {table: pool.submit(write_table, build(), self.root, table) for table, build in builds.items()}
+            jobs = {table: pool.submit(write_table, build(), self.staged, table) for table, build in builds.items()}
             for table, job in jobs.items():
                 self.written[table] = job.result()
+                for column, n in self.written[table].rejected.items():
+                    self._limit(table, f"rejected value, {column}", n, "rejected value")
+
+    def _limit(self, table: str, what: str, n: int, reason: str) -> None:
+        if n > self.allowed.get(reason, n):
+            raise quality.QualityError(f"{table}: {what}: {n}")
+
+    def dropped(self, table: str, counts: Mapping[str, int]) -> None:
+        """Note rows that the table leaves out, and stop if they are more than allowed."""
+        found = {reason: n for reason, n in counts.items() if n}
+        self.written[table] = replace(self.written[table], dropped=self.written[table].dropped | found)
+        for reason, n in found.items():
+            self._limit(table, reason, n, reason)
+
+    def landed(self, table: str, seen: Observation) -> None:
+        raw, no_key = seen.get["raw"], seen.get["no_key"]
+        self.dropped(table, {rejects.NO_KEY: no_key, rejects.REPEATED_KEY: raw - no_key - self.written[table].rows})
 
     def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.root, table)
+        return read_table(self.spark, self.staged, table)
+
+    def publish(self) -> None:
+        publish_tables(self.spark, self.staged, self.root, self.written)
 
     def check(self, *tables: str) -> None:
         quality.enforce(quality.declared_gates({table: self.read(table) for table in tables}))
@@ -68,17 +98,26 @@ def enrichment_requests(staging_artists: DataFrame) -> DataFrame:
 def run_refresh(
     spark: SparkSession, sources: Sources, root: str, snapshot_date: date | None = None,
     minimum_rows: Mapping[str, int] = rules.MINIMUM_ROWS, years: tuple[int, int] = rules.YEAR_SPINE,
+    allowed: Mapping[str, int] = MappingProxyType({}),
 ) -> dict[str, Written]:
-    """Rebuild every table under ``root`` from the landed inputs; returns what was written.
+    """Rebuild every table under ``root`` from the landed inputs; returns what was written and left out.
 
     Layers follow each other and read the tables just written, so a lost executor costs the stage
-    it was running.  Failed gates raise and leave the later layers as they were.
+    it was running.  Failed gates raise and leave all tables as they were.  ``allowed`` gives other limits
+    than :data:`STRICT` for what a load may leave out, by reason.
     """
-    run = _Refresh(spark, root)
+    run = _Refresh(spark, root, allowed)
+    seen_artworks, seen_artists = Observation(), Observation()
+
+    def landed_artworks() -> DataFrame:
+        if sources.artwork_columns is None:
+            return csv.land_artworks(spark, sources.artworks, seen_artworks)
+        raw = csv.read_big_csv_text(spark, sources.artworks, sources.artwork_columns)
+        return csv.land(raw, rules.ARTWORK_HEADERS, "object_id", observation=seen_artworks)
 
     run.write({
-        "staging_artworks": lambda: csv.land_artworks(spark, sources.artworks),
-        "staging_artists": lambda: csv.land_artists(spark, sources.artists),
+        "staging_artworks": landed_artworks,
+        "staging_artists": lambda: csv.land_artists(spark, sources.artists, seen_artists),
         "staging_geography": lambda: json.geography_reference(
             json.flatten_countries(json.read_documents(spark, sources.countries, "name"))
         ),
@@ -88,7 +127,10 @@ def run_refresh(
             *years,
         ),
     })
-    run.require_rows({"staging_artworks": 1, "staging_artists": 1})
+    run.landed("staging_artworks", seen_artworks)
+    run.landed("staging_artists", seen_artists)
+    # The stand-in country is always there: without another the country list was empty or unreadable.
+    run.require_rows({"staging_artworks": 1, "staging_artists": 1, "staging_geography": 2})
     run.check("staging_artworks", "staging_artists", "staging_geography", "staging_economics")
 
     responses = json.read_documents(spark, sources.responses, "batch_no").withColumn(
@@ -102,15 +144,24 @@ def run_refresh(
         ),
         "transformed_date_economics": lambda: calendar.transform_date_economics(run.read("staging_economics")),
     })
+    counted = rejects.bad_keys(run.read("staging_artworks"), "object_id", "transformed_artworks").unionByName(
+        rejects.bad_list_ids(run.read("staging_artworks")))
+    for row in counted.collect():
+        run.dropped(row["table_name"], {row["reason"]: row["n"]})
     run.write({
         "staging_enrichment": lambda: enrichment.enrich_artists(run.read("staging_requests"), responses),
+        "staging_responses": lambda: enrichment.raw_responses(responses),
     })
+    foreign = enrichment.unrequested_bindings(run.read("staging_requests"), responses).first()
+    run.dropped("staging_enrichment", {foreign["check"]: foreign["failures"]})
     run.write({
         "transformed_artists": lambda: linking.with_artist_stats(
             artists.transform_artists(run.read("staging_artists"), run.read("staging_enrichment")),
             run.read("bridge_artwork_artist"), run.read("transformed_artworks"),
         ),
     })
+    bad_artists = rejects.bad_keys(run.read("staging_artists"), "constituent_id", "transformed_artists").first()
+    run.dropped("transformed_artists", {bad_artists["reason"]: bad_artists["n"]})
     run.write({
         "transformed_geography": lambda: geography.transform_geography(
             run.read("staging_geography"), run.read("transformed_artists"), run.read("bridge_artwork_artist")
@@ -143,4 +194,5 @@ def run_refresh(
     run.check(
         "dim_date", "dim_geography", "dim_artist", "dim_artwork", "fact_artwork_acquisitions", "fact_artist_summary"
     )
+    run.publish()
     return run.written

@@ -262,7 +262,6 @@ UNKNOWN_COUNTRY = {
 # --- Fixed values: enrichment requests, statuses and the unknown artist member -------------
 REQUEST_BATCH_SIZE = 50
 ENTITY_PREFIX = "wd:"
-SINGLE_RESPONSE_LIMIT = 20
 MISSING_IDS = ("", "None")
 UNKNOWN_ARTIST_ID = 0
 UNKNOWN_ARTIST_NAME = "Unknown Artist"

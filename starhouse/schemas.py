@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starhouse.rules import ARTIST_HEADERS, ARTWORK_HEADERS
 
+# Columns and types of the tables must be as they are.
 _LANDED = {"source_file": "string", "loaded_at": "timestamp"}
 
 STAGING = {
@@ -14,8 +15,9 @@ STAGING = {
         "artist_name": "string", "wikidata_id": "string", "movements": "array<string>",
         "bio_text": "string", "birth_place": "string", "birth_place_country": "string",
         "death_place": "string", "education": "string", "influenced_by": "array<string>",
-        "api_response_json": "string", "fetched_at": "timestamp", "fetch_status": "string",
+        "batch_no": "bigint", "fetched_at": "timestamp", "fetch_status": "string",
     },
+    "staging_responses": {"batch_no": "bigint", "api_response_json": "string"},
     "staging_geography": {
         "country_name": "string", "country_code_iso2": "string", "country_code_iso3": "string",
         "continent": "string", "region": "string", "subregion": "string",
@@ -115,6 +117,7 @@ UNIQUE_KEYS = {
     "staging_artists": [("constituent_id",)],
     "staging_requests": [("wikidata_id",)],
     "staging_enrichment": [("wikidata_id",)],
+    "staging_responses": [("batch_no",)],
     "staging_geography": [("country_name",), ("country_code_iso2",)],
     "staging_economics": [("year",)],
     "transformed_artworks": [("artwork_id",)],
@@ -131,6 +134,13 @@ UNIQUE_KEYS = {
 }
 
 REQUIRED_COLUMNS = {
+    "staging_artworks": ["object_id"],
+    "staging_artists": ["constituent_id"],
+    "staging_requests": ["wikidata_id"],
+    "staging_enrichment": ["wikidata_id"],
+    "staging_responses": ["batch_no"],
+    "staging_geography": ["country_name", "country_code_iso2"],
+    "staging_economics": ["year"],
     "transformed_artworks": ["artwork_id"],
     "transformed_artists": ["artist_id", "display_name"],
     "bridge_artwork_artist": ["artwork_id", "artist_id"],
@@ -140,8 +150,8 @@ REQUIRED_COLUMNS = {
     "dim_geography": ["nationality", "country_name"],
     "dim_artist": ["artist_id", "display_name"],
     "dim_artwork": ["artwork_id"],
-    "fact_artwork_acquisitions": ["artwork_id", "artist_id"],
-    "fact_artist_summary": ["artist_id", "snapshot_date"],
+    "fact_artwork_acquisitions": ["acquisition_key", "artwork_id", "artist_id"],
+    "fact_artist_summary": ["artist_summary_key", "artist_id", "snapshot_date"],
 }
 
 # child table -> (child column, parent table, parent column)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,14 +27,6 @@ def build_session(name: str = "starhouse", master: str | None = None, **settings
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
-
-    Executors must all see that folder, so only a local session may fall back to a temporary one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="starhouse-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A fresh path that all executors share: under ``spark.checkpoint.dir``, or the warehouse folder where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starhouse import rules
@@ -43,7 +43,8 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
     number of quotes before it in the file, so: count quotes per block, sum them up block by block
     (one row per block), then number the records inside each block.  Only the lines of a record are
     gathered, and a record is parsed from its own text.  Every quote character must belong to a
-    quoted field, as standard writers ensure; the first line of every file is its header.
+    quoted field, as standard writers ensure; a file that ends inside a quote stops the job.  The first
+    line of every file is its header and must name the columns in their order, else the job stops too.
     """
     names = list(columns)
     block, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
@@ -55,9 +56,16 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
     by_block = Window.partitionBy("file", "block").orderBy("row")
     until_here, before = by_block.rowsBetween(Window.unboundedPreceding, 0), by_block.rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = Window.partitionBy("file")
+    open_end = F.raise_error(F.concat(F.lit("a quoted field does not end in "), F.col("file")))
     quotes_before = (
         lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
-        .select("file", "block", F.coalesce(F.sum("quotes").over(in_file), F.lit(0)).alias("block_quotes"))
+        .select(
+            "file", "block", F.coalesce(F.sum("quotes").over(in_file), F.lit(0)).alias("block_quotes"),
+            (F.sum("quotes").over(whole_file) % 2).alias("odd"),
+        )
+        .withColumn("block_quotes", F.when(F.col("odd") == 0, F.col("block_quotes")).otherwise(open_end.cast("bigint")))
+        .drop("odd")
     )
     opened = (
         lines.join(quotes_before, ["file", "block"])
@@ -81,8 +89,13 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
     schema = ", ".join(f"`{name}` string" for name in names)
     options = {"quote": '"', "escape": '"', "multiLine": "true"}
     is_header = (F.col("owner.b") == 0) & (F.col("owner.r") == 1)
+    header = F.from_csv("text", schema, options)
+    as_named = F.array(*[F.regexp_replace(header.getField(name), "^\ufeff", "") for name in names]) == F.array(*map(F.lit, names))
+    too_many = F.size(F.split("text", ",")) != F.lit(len(names))
+    other = F.raise_error(F.concat(F.lit("other columns than asked for in "), F.col("file"))).cast("boolean")
+    is_row = F.when(is_header, F.when(F.coalesce(as_named, F.lit(False)) & ~too_many, F.lit(False)).otherwise(other)).otherwise(F.col("text") != "")
     return (
-        records.where(~is_header & (F.col("text") != ""))
+        records.where(is_row)
         .select(
             F.from_csv("text", schema, options).alias("c"), "source_file",
             F.struct("file", F.col("owner.b").alias("block"), "row").alias(LANDING_ORDER),
@@ -92,26 +105,30 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
 
 
 def land(
-    raw: DataFrame, headers: Mapping[str, str], key: str, tokens: Iterable[str] = rules.NULL_TOKENS
+    raw: DataFrame, headers: Mapping[str, str], key: str, tokens: Iterable[str] = rules.NULL_TOKENS,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Renamed text columns with no-value tokens as NULL, one row per key, stamped with the load time.
 
-    Of rows with the same key the first landed stays; rows without a key are left out.
+    Of rows with the same key the first landed stays; rows without a key are left out.  ``observation`` gets the
+    number of raw rows and of those without a key.
     """
     present = set(raw.columns)
     columns = [
         blank_tokens(F.col(f"`{header}`") if header in present else F.lit(None).cast("string"), tokens).alias(name)
         for header, name in headers.items()
     ]
-    named = raw.select(*columns, "source_file", LANDING_ORDER).where(F.col(key).isNotNull())
-    return keep_first(named, [key], [LANDING_ORDER]).drop(LANDING_ORDER).withColumn("loaded_at", F.current_timestamp())
+    named = raw.select(*columns, "source_file", LANDING_ORDER)
+    if observation is not None:
+        named = named.observe(observation, F.count("*").alias("raw"), F.count_if(F.col(key).isNull()).alias("no_key"))
+    return keep_first(named.where(F.col(key).isNotNull()), [key], [LANDING_ORDER]).drop(LANDING_ORDER).withColumn("loaded_at", F.current_timestamp())
 
 
-def land_artworks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return land(read_csv_text(spark, path), rules.ARTWORK_HEADERS, "object_id")
+def land_artworks(spark: SparkSession, path: str | list[str], observation: Observation | None = None) -> DataFrame:
+    return land(read_csv_text(spark, path), rules.ARTWORK_HEADERS, "object_id", observation=observation)
 
 
-def land_artists(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return land(read_csv_text(spark, path), rules.ARTIST_HEADERS, "constituent_id")
+def land_artists(spark: SparkSession, path: str | list[str], observation: Observation | None = None) -> DataFrame:
+    return land(read_csv_text(spark, path), rules.ARTIST_HEADERS, "constituent_id", observation=observation)
 
 

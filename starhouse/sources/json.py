@@ -16,6 +16,9 @@ _COUNTRIES_SCHEMA = (
 )
 
 
+LISTED = "_listed"
+
+
 def read_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
     """One row per file: its name under ``key``, its text as ``payload``.
 
@@ -31,9 +34,12 @@ def read_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
 def flatten_countries(documents: DataFrame, payload: str = "payload") -> DataFrame:
     """Country objects to flat rows; missing texts are empty, missing coordinates NULL.
 
-    Countries without a name are dropped.
+    Countries without a name are dropped.  The column ``LISTED`` has where a country stands: document, position in it.
     """
-    parsed = documents.select(F.explode(F.from_json(F.col(payload), _COUNTRIES_SCHEMA)).alias("c"))
+    document = F.col("name").cast("string") if "name" in documents.columns else F.md5(payload)
+    parsed = documents.select(
+        document.alias("document"), F.posexplode(F.from_json(F.col(payload), _COUNTRIES_SCHEMA)).alias("position", "c")
+    )
 
     def text(path: str):
         return F.coalesce(F.col(path), F.lit(""))
@@ -48,6 +54,7 @@ def flatten_countries(documents: DataFrame, payload: str = "payload") -> DataFra
         F.get("c.latlng", F.lit(0)).alias("latitude"),
         F.get("c.latlng", F.lit(1)).alias("longitude"),
         F.lit(rules.COUNTRY_SOURCE).alias("source"),
+        F.struct("document", "position").alias(LISTED),
     )
 
 
@@ -61,10 +68,10 @@ def with_unknown_country(countries: DataFrame) -> DataFrame:
 
 
 def geography_reference(countries: DataFrame) -> DataFrame:
-    """Geography staging table: stand-in row added, nationalities derived, one row per ISO-2 code."""
+    """Geography staging table: stand-in row added, nationalities derived, the first listed row of each ISO-2 code."""
     named = with_unknown_country(countries).withColumn("nationality", nationality(F.col("country_name")))
     return (
-        keep_first(named, ["country_code_iso2"], ["_custom", "country_name"])
-        .drop("_custom")
+        keep_first(named, ["country_code_iso2"], ["_custom", LISTED])
+        .drop("_custom", LISTED)
         .withColumn("loaded_at", F.current_timestamp())
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +44,11 @@ def table_path(root: str, table: str) -> str:
 
 @dataclass(frozen=True)
 class Written:
-    """Outcome of one table write: its rows, and per column the values that did not fit the type."""
+    """Outcome of one table write: its rows, per column the values that did not fit the type, and per reason the rows left out."""
 
     rows: int
     rejected: dict[str, int]
+    dropped: dict[str, int] = field(default_factory=dict)
 
 
 def write_table(df: DataFrame, root: str, table: str) -> Written:
@@ -66,6 +68,23 @@ def write_table(df: DataFrame, root: str, table: str) -> Written:
     return Written(df.sparkSession.read.parquet(path).count(), rejected)
 
 
+def publish_tables(spark: SparkSession, staged: str, root: str, tables: Iterable[str]) -> None:
+    """Put tables written under ``staged`` into their places under ``root``.
+
+    A place's old files are moved aside first and removed last, so they are still there if moving the new ones fails.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for table in tables:
+        new, live = path(table_path(staged, table)), path(table_path(root, table))
+        old = path(f"{table_path(staged, table)}__old")
+        files = live.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        files.mkdirs(live.getParent())
+        if files.exists(live) and not files.rename(live, old) or not files.rename(new, live):
+            raise OSError(f"could not publish {table}")
+        files.delete(old, True)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table))
 

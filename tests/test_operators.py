@@ -10,7 +10,7 @@ from conftest import values
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starhouse.operators import dedup, economics, enrichment, linking, lookup, numbering, quality
+from starhouse.operators import dedup, economics, enrichment, linking, lookup, numbering, quality, rejects
 
 
 # --- Repeated keys ---------------------------------------------------------------------------
@@ -72,12 +72,25 @@ def test_composite_keys_are_unique(spark):
 # --- Lookups ---------------------------------------------------------------------------------
 
 
-def test_calendar_lookup_is_bounded_and_keeps_misses(spark):
-    dim = spark.createDataFrame([(1999, 19990101), (2000, 20000101), (123456, 1), (None, 5)], "year int, date_key int")
-    found = lookup.calendar_lookup(dim, "year", "date_key")
-    assert found.count() == 2
-    df = spark.createDataFrame([(1, 1999), (2, 1950), (3, None)], "i int, y int")
-    assert values(lookup.with_calendar_value(df, F.col("y"), found, "key"), "i", "key") == [(1, 19990101), (2, None), (3, None)]
+def test_calendar_value_keeps_misses_and_far_years(spark):
+    dim = spark.createDataFrame([(1999, 19990101), (12000, 120000101)], "year int, date_key int")
+    df = spark.createDataFrame([(1, 1999), (2, 2000), (3, None), (4, 12000)], "i int, y int")
+    found = lookup.with_calendar_value(df, F.col("y"), dim, "year", "date_key", "key")
+    assert values(found, "i", "key") == [(1, 19990101), (2, None), (3, None), (4, 120000101)]
+
+
+def test_only_whole_json_is_an_answer(spark):
+    texts = ["<html>502</html>", '{"results": {"bindings": [{"item"', "{}", " [ ] ", "null", "", None, '{"results": {"bindings": []}}', '{"head": {}}']
+    df = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "n int, payload string")
+    assert [row["n"] for row in df.where(enrichment.is_answer(F.col("payload"))).orderBy("n").collect()] == [7, 8]
+
+
+def test_rejects_are_counted_by_reason(spark):
+    raw = spark.createDataFrame(
+        [(x, "1,2") for x in ("12", "x9", "3000000000", "7.0", None, "12", "12")] + [("13", "1, n.n.,4")], "object_id string, constituent_id string")
+    assert values(rejects.landing_rejects(raw, "object_id", "t"), "reason", "n") == [("no key", 1), ("repeated key", 2)]
+    assert values(rejects.bad_keys(raw, "object_id", "t"), "reason", "n") == [("bad key", 3)]
+    assert values(rejects.bad_list_ids(raw), "n") == [(1,)]
 
 
 def test_null_keys_spread_and_match_nothing(spark):
@@ -129,7 +142,7 @@ def test_enrichment_collects_in_response_order(spark):
     assert rows["Q2"]["death_place"] == "Grave" and rows["Q2"]["birth_place_country"] == "Land"
     statuses = {qid: row["fetch_status"] for qid, row in rows.items()}
     assert statuses == {"Q1": "success", "Q2": "no_data", "Q3": "no_data", "Q4": "failed", "Q5": "no_data", "Q6": "failed"}
-    assert rows["Q3"]["api_response_json"] == RESPONSES[0][1] and rows["Q4"]["api_response_json"] is None
+    assert rows["Q3"]["batch_no"] == 0 and values(enrichment.raw_responses(responses), "batch_no") == [(0,), (2,)]
 
 
 def test_entity_with_a_third_of_all_bindings(spark):
@@ -154,7 +167,7 @@ def test_single_response_variant(spark):
     )
     requests = spark.createDataFrame([(q, q) for q in ("Q1", "Q2", "Q3", "Q4")], "artist_name string, wikidata_id string")
     rows = {row["wikidata_id"]: row for row in enrichment.enrich_artists_singly(requests, responses).collect()}
-    assert rows["Q1"]["movements"] == [f"m{n:02}" for n in range(20)]
+    assert rows["Q1"]["movements"] == [f"m{n:02}" for n in range(25)]
     assert [rows[q]["fetch_status"] for q in ("Q1", "Q2", "Q3", "Q4")] == ["success", "success", "no_data", "failed"]
 
 

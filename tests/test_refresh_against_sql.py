@@ -24,7 +24,8 @@ def root(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(("table", "query"), [
     ("transformed_artworks", "artworks_transform"), ("bridge_artwork_artist", "bridge_build"), ("dim_artist", "dim_artist"),
-    ("dim_artwork", "dim_artwork"), ("fact_artwork_acquisitions", "fact_acquisitions"), ("fact_artist_summary", "fact_artist_summary"),
+    ("dim_artwork", "dim_artwork"), ("transformed_geography", "geography_transform"), ("dim_geography", "dim_geography"),
+    ("staging_geography", "nationality_map"), ("fact_artwork_acquisitions", "fact_acquisitions"), ("fact_artist_summary", "fact_artist_summary"),
 ])
 def test_refreshed_table_agrees_with_sql(spark, root, table, query):
     mine = presentable(read_table(spark, root, table))

@@ -138,8 +138,8 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
           CASE WHEN {_HAS_DETAIL} THEN 'success' ELSE 'no_data' END AS fetch_status
         FROM requested r LEFT JOIN collected c ON r.wiki_qid = c.qid"""),
     "part_enriched": (("requested", "collected"), f"""
-        SELECT r.display_name AS artist_name, r.wiki_qid AS wikidata_id, no // {SMALL_BATCH} % 4 <> 3 AS has_response,
-          CASE WHEN no // {SMALL_BATCH} % 4 = 3 THEN 'failed' WHEN {_HAS_DETAIL} THEN 'success' ELSE 'no_data' END AS fetch_status
+        SELECT r.display_name AS artist_name, r.wiki_qid AS wikidata_id, no // {SMALL_BATCH} % 7 NOT IN (1, 2, 3, 4) AS has_response,
+          CASE WHEN no // {SMALL_BATCH} % 7 IN (1, 2, 3, 4) THEN 'failed' WHEN {_HAS_DETAIL} THEN 'success' ELSE 'no_data' END AS fetch_status
         FROM requested r LEFT JOIN collected c ON r.wiki_qid = c.qid"""),
     "t_artists": (("s_artists", "enriched"), f"""
         SELECT *, round((CASE WHEN birth_year IS NOT NULL THEN 20 ELSE 0 END
@@ -162,30 +162,31 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT object_id, unnest(string_split(constituent_id, ',')) AS v FROM s_ids
               WHERE constituent_id IS NOT NULL AND constituent_id <> '') u"""),
     "bridge": (("listed", "t_artworks", "s_artists"), """
-        SELECT DISTINCT l.artwork_id, l.artist_id, CAST(c.artists_total AS int) AS artists_total
-        FROM listed l JOIN t_artworks w ON l.artwork_id = w.artwork_id
-        LEFT JOIN (SELECT CAST(constituent_id AS int) AS known_id FROM s_artists) a ON a.known_id = l.artist_id
-        LEFT JOIN (SELECT artwork_id, count(artist_id) AS artists_total FROM listed GROUP BY artwork_id) c
-          ON c.artwork_id = l.artwork_id
-        WHERE a.known_id IS NOT NULL"""),
+        SELECT DISTINCT artwork_id, artist_id, CAST(len(ids) AS int) AS artists_total
+        FROM (SELECT artwork_id, ids, unnest(ids) AS artist_id
+              FROM (SELECT artwork_id, list(artist_id) AS ids FROM listed GROUP BY artwork_id) per_work) pair
+        WHERE artist_id IN (SELECT CAST(constituent_id AS int) FROM s_artists)
+          AND artwork_id IN (SELECT artwork_id FROM t_artworks)"""),
     "a_stats": (("t_artists", "bridge", "t_artworks"), """
-        SELECT a.*, CAST(s.n AS int) AS total_artworks_in_collection, s.lo AS first_acquisition_year, s.hi AS last_acquisition_year
-        FROM t_artists a JOIN (
-          SELECT t.artist_id, count(DISTINCT b.artwork_id) AS n, min(w.acquisition_year) AS lo, max(w.acquisition_year) AS hi
-          FROM t_artists t LEFT JOIN bridge b ON t.artist_id = b.artist_id
-          LEFT JOIN t_artworks w ON b.artwork_id = w.artwork_id GROUP BY t.artist_id) s ON a.artist_id = s.artist_id"""),
+        SELECT p.*, CAST(coalesce(works, 0) AS int) AS total_artworks_in_collection, first_acquisition_year, last_acquisition_year
+        FROM t_artists p
+        LEFT JOIN (SELECT artist_id, count(*) AS works FROM bridge GROUP BY ALL) USING (artist_id)
+        LEFT JOIN (SELECT artist_id, min(acquisition_year) AS first_acquisition_year
+                   FROM bridge JOIN t_artworks USING (artwork_id) GROUP BY ALL) USING (artist_id)
+        LEFT JOIN (SELECT artist_id, max(acquisition_year) AS last_acquisition_year
+                   FROM bridge JOIN t_artworks USING (artwork_id) GROUP BY ALL) USING (artist_id)"""),
     "geo_reference": (("s_countries",), f"""
-        SELECT * EXCLUDE (rn, custom) FROM (
+        SELECT * EXCLUDE (rn, custom, listed) FROM (
           SELECT *, {_nationality('country_name')} AS nationality,
-            row_number() OVER (PARTITION BY country_code_iso2 ORDER BY custom, country_name) AS rn
+            row_number() OVER (PARTITION BY country_code_iso2 ORDER BY custom, listed) AS rn
           FROM (SELECT {_strip('country_name')} AS country_name, country_code_iso2, country_code_iso3, continent, region,
-                  subregion, latitude, longitude, {_text(rules.COUNTRY_SOURCE)} AS source, 0 AS custom FROM s_countries
+                  subregion, latitude, longitude, {_text(rules.COUNTRY_SOURCE)} AS source, 0 AS custom, listed FROM s_countries
                 UNION ALL SELECT 'Nationality unknown', 'XX', 'XXX', 'Unknown', 'Unknown', 'Unknown', NULL, NULL,
-                  'Custom mapping', 1) u) k WHERE rn = 1"""),
-    "t_geography": (("s_countries", "t_artists", "bridge", "t_artworks"), """
-        SELECT g.nationality, trim(g.country_name) AS country_name, country_code_iso2, country_code_iso3, continent, region,
+                  'Custom mapping', 1, 0) u) k WHERE rn = 1"""),
+    "t_geography": (("geo_reference", "t_artists", "bridge", "t_artworks"), """
+        SELECT g.nationality, country_name, country_code_iso2, country_code_iso3, continent, region,
           subregion, latitude, longitude, CAST(coalesce(a.n, 0) AS int) AS total_artists, CAST(coalesce(w.n, 0) AS int) AS total_artworks
-        FROM s_countries g
+        FROM geo_reference g
         LEFT JOIN (SELECT lower(trim(nationality)) AS nationality, count(DISTINCT artist_id) AS n FROM t_artists
                    WHERE nationality IS NOT NULL GROUP BY 1) a ON a.nationality = g.nationality
         LEFT JOIN (SELECT lower(trim(t.nationality)) AS nationality, count(DISTINCT x.artwork_id) AS n FROM t_artists t
@@ -215,30 +216,35 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT * EXCLUDE (date_acquired, acquisition_year), CAST(floor(creation_year / 10) * 10 AS int) AS creation_decade,
           CAST(floor(creation_year / 100) AS int) AS creation_century FROM t_artworks"""),
     "fact": (("t_artworks", "bridge", "t_artists", "calendar"), """
-        SELECT CAST(d.artwork_id AS bigint) * 4294967296 + coalesce(d.artist_id, 0) AS acquisition_key, d.artwork_id,
-          coalesce(d.artist_id, 0) AS artist_id, da.date_key AS acquisition_date_key, dc.date_key AS creation_date_key,
-          d.nationality, d.accession_number,
-          CASE WHEN d.acquisition_year - d.creation_year < 0 THEN 0 ELSE d.acquisition_year - d.creation_year END
-            AS years_from_creation_to_acquisition,
-          lower(d.acquisition_method) = 'gift' AS is_gift, lower(d.acquisition_method) = 'purchase' AS is_purchase,
-          lower(d.acquisition_method) = 'bequest' AS is_bequest, d.is_living AS is_living_artist_at_acquisition,
-          CASE WHEN d.acquisition_year - d.creation_year <= 20 THEN TRUE ELSE FALSE END AS is_contemporary,
-          d.cataloged AS is_cataloged, CASE WHEN d.gender_clean = 'Female' THEN TRUE ELSE FALSE END AS is_female_artist
-        FROM (SELECT w.*, a.artist_id, a.nationality, a.is_living, a.gender_clean FROM t_artworks w
-              LEFT JOIN bridge b ON w.artwork_id = b.artwork_id LEFT JOIN t_artists a ON b.artist_id = a.artist_id) d
-        LEFT JOIN calendar da ON d.acquisition_year = da.year LEFT JOIN calendar dc ON d.creation_year = dc.year"""),
+        SELECT (CAST(artwork_id AS bigint) << 32) + artist_id AS acquisition_key, artwork_id, artist_id,
+          (SELECT date_key FROM calendar WHERE year = bought) AS acquisition_date_key,
+          (SELECT date_key FROM calendar WHERE year = made) AS creation_date_key,
+          nationality, accession_number, if(bought < made, 0, bought - made) AS years_from_creation_to_acquisition,
+          acquisition_method = 'Gift' AS is_gift, acquisition_method = 'Purchase' AS is_purchase,
+          acquisition_method = 'Bequest' AS is_bequest, is_living AS is_living_artist_at_acquisition,
+          coalesce(made >= bought - 20, FALSE) AS is_contemporary, cataloged AS is_cataloged,
+          coalesce(gender_clean = 'Female', FALSE) AS is_female_artist
+        FROM (SELECT artwork_id, artist_id, acquisition_year AS bought, creation_year AS made, accession_number, acquisition_method,
+                cataloged, nationality, is_living, gender_clean
+              FROM bridge JOIN t_artworks USING (artwork_id) JOIN t_artists USING (artist_id)
+              UNION ALL
+              SELECT artwork_id, 0, acquisition_year, creation_year, accession_number, acquisition_method, cataloged, NULL, NULL, NULL
+              FROM t_artworks WHERE artwork_id NOT IN (SELECT artwork_id FROM bridge)) row_of"""),
     "summary": (("d_artist", "fact", "d_artwork", "calendar"), f"""
-        SELECT CAST(artist_id AS bigint) * 4294967296 + {SNAPSHOT:%Y%m%d} AS artist_summary_key, artist_id, nationality,
-          DATE '{SNAPSHOT}' AS snapshot_date, CAST(n AS int) AS total_artworks, first_acquisition_year, last_acquisition_year,
-          last_acquisition_year - first_acquisition_year AS span_of_acquisitions_years, earliest_artwork_year,
-          latest_artwork_year, avg_years_to_acquisition, recent > 0 AS has_contemporary_works
-        FROM (SELECT a.artist_id, a.nationality, count(DISTINCT w.artwork_id) AS n, min(w.creation_year) AS earliest_artwork_year,
-                max(w.creation_year) AS latest_artwork_year, min(c.year) AS first_acquisition_year, max(c.year) AS last_acquisition_year,
-                round(avg(f.years_from_creation_to_acquisition), 0) AS avg_years_to_acquisition,
-                count(DISTINCT w.artwork_id) FILTER (WHERE w.creation_year IS NOT NULL
-                  AND {SNAPSHOT.year} - w.creation_year <= 20) AS recent
-              FROM d_artist a LEFT JOIN fact f ON a.artist_id = f.artist_id LEFT JOIN d_artwork w ON f.artwork_id = w.artwork_id
-              LEFT JOIN calendar c ON f.acquisition_date_key = c.date_key GROUP BY a.artist_id, a.nationality) s"""),
+        SELECT (CAST(artist_id AS bigint) << 32) + {SNAPSHOT:%Y%m%d} AS artist_summary_key, artist_id, p.nationality,
+          DATE '{SNAPSHOT}' AS snapshot_date, CAST(coalesce(works, 0) AS int) AS total_artworks,
+          first_acquisition_year, last_acquisition_year, last_acquisition_year - first_acquisition_year AS span_of_acquisitions_years,
+          earliest_artwork_year, latest_artwork_year, avg_years_to_acquisition,
+          artist_id IN (SELECT f.artist_id FROM fact f JOIN d_artwork USING (artwork_id)
+                        WHERE creation_year >= {SNAPSHOT.year - 20}) AS has_contemporary_works
+        FROM (SELECT artist_id, nationality FROM d_artist) p
+        LEFT JOIN (SELECT artist_id, count(*) AS works FROM fact GROUP BY ALL) USING (artist_id)
+        LEFT JOIN (SELECT artist_id, min(year) AS first_acquisition_year, max(year) AS last_acquisition_year
+                   FROM fact JOIN calendar ON date_key = acquisition_date_key GROUP BY ALL) b USING (artist_id)
+        LEFT JOIN (SELECT artist_id, min(creation_year) AS earliest_artwork_year, max(creation_year) AS latest_artwork_year
+                   FROM fact JOIN d_artwork USING (artwork_id) GROUP BY ALL) m USING (artist_id)
+        LEFT JOIN (SELECT artist_id, round(avg(years_from_creation_to_acquisition), 0) AS avg_years_to_acquisition
+                   FROM fact GROUP BY ALL) w USING (artist_id)"""),
 }
 
 
@@ -332,9 +338,9 @@ ORACLE: dict[str, str] = {
                 ELSE 'Land ' || c_mktsegment END AS country FROM customer) c""",
     "fetch_status": _sql("part_enriched", "SELECT artist_name, wikidata_id, fetch_status, has_response FROM part_enriched"),
     "fetch_status_single": _sql("requested collected", """SELECT r.display_name AS artist_name, r.wiki_qid AS wikidata_id, c.* EXCLUDE (qid),
-        CASE WHEN no4 = 3 THEN 'failed' WHEN no5 = 0 THEN 'no_data' ELSE 'success' END AS fetch_status
-        FROM (SELECT *, CAST(substr(wiki_qid, 2) AS int) % 4 AS no4, CAST(substr(wiki_qid, 2) AS int) % 5 AS no5 FROM requested) r
-        LEFT JOIN collected c ON r.wiki_qid = c.qid AND no4 <> 3 AND no5 <> 0"""),
+        CASE WHEN no4 = 3 THEN 'failed' WHEN no5 = 0 THEN 'no_data' WHEN no7 IN (1, 2, 3) THEN 'failed' ELSE 'success' END AS fetch_status
+        FROM (SELECT *, q % 4 AS no4, q % 5 AS no5, q % 7 AS no7 FROM (SELECT *, CAST(substr(wiki_qid, 2) AS int) AS q FROM requested) x) r
+        LEFT JOIN collected c ON r.wiki_qid = c.qid AND no4 <> 3 AND no5 <> 0 AND no7 NOT IN (1, 2, 3)"""),
     "request_batches": _sql("requested", """SELECT no // 5 AS batch_no, count(*) AS ids, string_agg('wd:' || wiki_qid, ' ' ORDER BY wiki_qid) AS request_text
         FROM requested GROUP BY 1"""),
     "enrich_left_join": _sql("s_artists enriched", """SELECT constituent_id, wikidata_id, wikidata_id IS NOT NULL AS has_wikidata_enrichment,
@@ -384,22 +390,40 @@ ORACLE: dict[str, str] = {
     "gate_not_null": _sql("t_artworks", " UNION ALL ".join(
         _gate(f"artworks.{name} not null", f"SELECT count(*) FROM t_artworks WHERE {name} IS NULL")
         for name in ("artwork_id", "title", "creation_year", "date_acquired"))),
-    "gate_declared": _sql("calendar d_artist d_artwork fact", " UNION ALL ".join(
+    "gate_declared": _sql("calendar t_geography d_artist d_artwork fact summary", " UNION ALL ".join(
         [_gate(f"{name} unique ({key})", _repeated(source, key)) for name, source, key in (
-            ("dim_date", "calendar", "date_key"), ("dim_date", "calendar", "full_date"), ("dim_artist", "d_artist", "artist_id"),
-            ("dim_artwork", "d_artwork", "artwork_id"), ("fact_artwork_acquisitions", "fact", "acquisition_key"))]
+            ("dim_date", "calendar", "date_key"), ("dim_date", "calendar", "full_date"), ("dim_geography", "t_geography", "nationality"),
+            ("dim_artist", "d_artist", "artist_id"), ("dim_artwork", "d_artwork", "artwork_id"),
+            ("fact_artwork_acquisitions", "fact", "acquisition_key"), ("fact_artist_summary", "summary", "artist_summary_key"),
+            ("fact_artist_summary", "summary", "artist_id, snapshot_date"))]
         + [_gate(f"{name}.{column} not null", f"SELECT count(*) FROM {source} WHERE {column} IS NULL") for name, source, columns in (
-            ("dim_date", "calendar", "date_key full_date year decade century"), ("dim_artist", "d_artist", "artist_id display_name"),
-            ("dim_artwork", "d_artwork", "artwork_id"), ("fact_artwork_acquisitions", "fact", "artwork_id artist_id"))
+            ("dim_date", "calendar", "date_key full_date year decade century"), ("dim_geography", "t_geography", "nationality country_name"),
+            ("dim_artist", "d_artist", "artist_id display_name"), ("dim_artwork", "d_artwork", "artwork_id"),
+            ("fact_artwork_acquisitions", "fact", "acquisition_key artwork_id artist_id"),
+            ("fact_artist_summary", "summary", "artist_summary_key artist_id snapshot_date"))
            for column in columns.split()]
-        + [_gate(f"fact_artwork_acquisitions.{column} in {parent}",
-                 f"SELECT count(*) FROM fact WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {source})")
-           for column, parent, source, key in (
-            ("artwork_id", "dim_artwork", "d_artwork", "artwork_id"), ("artist_id", "dim_artist", "d_artist", "artist_id"),
-            ("acquisition_date_key", "dim_date", "calendar", "date_key"), ("creation_date_key", "dim_date", "calendar", "date_key"))])),
-    "report_table_counts": _sql("calendar t_geography d_artist d_artwork fact", """SELECT (SELECT count(*) FROM calendar) AS date_records,
+        + [_gate(f"{child}.{column} in {parent}",
+                 f"SELECT count(*) FROM {rows} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {source})")
+           for child, rows, column, parent, source, key in (
+            ("fact_artwork_acquisitions", "fact", "artwork_id", "dim_artwork", "d_artwork", "artwork_id"),
+            ("fact_artwork_acquisitions", "fact", "artist_id", "dim_artist", "d_artist", "artist_id"),
+            ("fact_artwork_acquisitions", "fact", "acquisition_date_key", "dim_date", "calendar", "date_key"),
+            ("fact_artwork_acquisitions", "fact", "creation_date_key", "dim_date", "calendar", "date_key"),
+            ("fact_artist_summary", "summary", "artist_id", "dim_artist", "d_artist", "artist_id"))])),
+    "load_rejects": _sql("s_ids", """SELECT 'staging_artworks' AS table_name, 'no key' AS reason, count_if(k % 11 = 0) AS n FROM spoilt
+        UNION ALL SELECT 'staging_artworks', 'repeated key', greatest(count_if(huge) - 1, 0) FROM spoilt
+        UNION ALL SELECT 'transformed_artworks', 'bad key', count_if(k % 11 <> 0 AND k % 13 = 0) + least(count_if(huge), 1) FROM spoilt
+        UNION ALL SELECT 'bridge_artwork_artist', 'bad list id', count_if(k % 17 = 0 AND k % 10 <> 0) FROM spoilt""").replace(
+        "\nSELECT 'staging", """, spoilt AS (SELECT k, k % 17 = 0 AND k % 11 <> 0 AND k % 13 <> 0 AS huge
+            FROM (SELECT CAST(object_id AS bigint) AS k FROM s_ids) o)
+        SELECT 'staging"""),
+    "report_table_counts": _sql("calendar t_geography d_artist d_artwork fact summary", """SELECT (SELECT count(*) FROM calendar) AS date_records,
         (SELECT count(*) FROM t_geography) AS geography_records, (SELECT count(*) FROM d_artist) AS artist_records,
-        (SELECT count(*) FROM d_artwork) AS artwork_records, (SELECT count(*) FROM fact) AS acquisitions"""),
+        (SELECT count(*) FROM d_artwork) AS artwork_records, (SELECT count(*) FROM fact) AS acquisitions,
+        (SELECT count(*) FROM summary) AS artist_summaries"""),
+    "report_transformed_counts": _sql("t_artworks t_artists t_geography calendar bridge", """SELECT (SELECT count(*) FROM t_artworks) AS artworks,
+        (SELECT count(*) FROM t_artists) AS artists, (SELECT count(*) FROM t_geography) AS geography,
+        (SELECT count(*) FROM calendar) AS date_economics, (SELECT count(*) FROM bridge) AS bridge"""),
     "report_samples": _sql("s_artworks", "SELECT object_id, title FROM s_artworks WHERE title IS NOT NULL ORDER BY CAST(object_id AS bigint) LIMIT 5"),
     "report_name_samples": _sql("s_artists", "SELECT display_name FROM s_artists WHERE display_name IS NOT NULL ORDER BY 1 LIMIT 5"),
     "report_country_samples": _sql("geo_reference", """SELECT country_name, country_code_iso2, continent, region, nationality

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starhouse import rules
 from starhouse.functions import classify, dates
 from starhouse.functions.text import blank_tokens
-from starhouse.operators import dedup, economics, enrichment, linking, numbering, quality
+from starhouse.operators import dedup, economics, enrichment, linking, numbering, quality, rejects
 from starhouse.plans import artists, artworks, reports, star
 from starhouse.session import scratch_path
 from starhouse.sources import csv as csv_source
@@ -98,7 +98,7 @@ def sink_roundtrip(w: Warehouse) -> DataFrame:
 
 
 def json_country_flatten(w: Warehouse) -> DataFrame:
-    return json_source.flatten_countries(w.country_documents)
+    return json_source.flatten_countries(w.country_documents).drop(json_source.LISTED)
 
 
 def json_observations(w: Warehouse) -> DataFrame:
@@ -110,7 +110,7 @@ def json_bindings_flatten(w: Warehouse) -> DataFrame:
     asked = numbering.with_request_batch(bindings.select("qid").distinct(), "qid")
     responses = bindings_payload(bindings.join(asked, "qid"), "batch_no")
     flat = enrichment.binding_rows(responses, "batch_no")
-    return enrichment.only_requested(flat, asked, ["batch_no", "qid"]).drop("batch_no", "pos").distinct()
+    return enrichment.only_requested(flat, asked).drop("batch_no", "pos").distinct()
 
 
 # --- Parsers ---------------------------------------------------------------------------------
@@ -163,7 +163,7 @@ def year_classify(w: Warehouse) -> DataFrame:
 
 def fetch_status(w: Warehouse) -> DataFrame:
     return w.partly_failed_enrichment.select(
-        "artist_name", "wikidata_id", "fetch_status", F.col("api_response_json").isNotNull().alias("has_response")
+        "artist_name", "wikidata_id", "fetch_status", (F.col("fetch_status") != "failed").alias("has_response")
     )
 
 
@@ -172,7 +172,11 @@ def fetch_status_single(w: Warehouse) -> DataFrame:
     requests = w.requested
     number = F.substring("qid", 2, 20).cast("int")
     bindings = w.shape("bindings").join(requests.select(F.col("wikidata_id").alias("qid")), "qid")
-    arrived = F.when(number % 4 == 3, None).when(number % 5 == 0, '{"results": {"bindings": []}}').otherwise(F.col("payload"))
+    arrived = (
+        F.when(number % 4 == 3, None).when(number % 5 == 0, '{"results": {"bindings": []}}')
+        .when(number % 7 == 1, "<html>502</html>").when(number % 7 == 2, F.expr("substring(payload, 1, length(payload) - 3)"))
+        .when(number % 7 == 3, "{}").otherwise(F.col("payload"))
+    )
     responses = bindings_payload(bindings, "qid").withColumn("payload", arrived)
     return presentable(enrichment.enrich_artists_singly(requests, responses).drop("api_response_json"))
 
@@ -194,7 +198,7 @@ def bindings_collect(w: Warehouse) -> DataFrame:
 
 
 def enrichment_table(w: Warehouse) -> DataFrame:
-    return presentable(w.staging_enrichment.drop("api_response_json"))
+    return presentable(w.staging_enrichment.drop("batch_no"))
 
 
 def year_spine_join(w: Warehouse) -> DataFrame:
@@ -299,8 +303,8 @@ def gate_declared(w: Warehouse) -> DataFrame:
     """All declared keys, required columns and references of the fact and its dimensions, once written."""
     root = scratch_path(w.spark, "gated")
     built = {
-        "dim_date": w.dim_date, "dim_artist": w.dim_artist, "dim_artwork": w.dim_artwork,
-        "fact_artwork_acquisitions": w.acquisitions,
+        "dim_date": w.dim_date, "dim_geography": w.dim_geography, "dim_artist": w.dim_artist, "dim_artwork": w.dim_artwork,
+        "fact_artwork_acquisitions": w.acquisitions, "fact_artist_summary": w.artist_summary,
     }
     for name, df in built.items():
         tables.write_table(df, root, name)
@@ -318,9 +322,33 @@ def report_table_counts(w: Warehouse) -> DataFrame:
     return reports.star_counts({
         "date_records": w.dim_date, "geography_records": w.dim_geography,
         "artist_records": w.dim_artist, "artwork_records": w.dim_artwork, "acquisitions": w.acquisitions,
+        "artist_summaries": w.artist_summary,
+    })
+
+
+def report_transformed_counts(w: Warehouse) -> DataFrame:
+    return reports.star_counts({
+        "artworks": w.transformed_artworks, "artists": w.cleaned_artists, "geography": w.transformed_geography,
+        "date_economics": w.date_economics, "bridge": w.bridge,
     })
 
 
+def load_rejects(w: Warehouse) -> DataFrame:
+    """Rows a load leaves out, by reason, after keys and listed ids of the artworks have been spoilt in all four ways."""
+    number = F.col("object_id").cast("bigint")
+    spoilt = w.shape("artwork_ids").select(
+        F.when(number % 11 == 0, None).when(number % 13 == 0, F.concat(F.lit("x"), "object_id"))
+        .when(number % 17 == 0, F.lit("3000000000")).otherwise(F.col("object_id")).alias("object_id"),
+        F.replace("constituent_id", F.lit("999999"), F.lit("n.n.")).alias("constituent_id"),
+    )
+    staging = dedup.keep_first(spoilt.where(F.col("object_id").isNotNull()), ["object_id"], ["constituent_id"])
+    return (
+        rejects.landing_rejects(spoilt, "object_id", "staging_artworks")
+        .unionByName(rejects.bad_keys(staging, "object_id", "transformed_artworks"))
+        .unionByName(rejects.bad_list_ids(w.shape("artwork_ids").withColumn("constituent_id", F.replace("constituent_id", F.lit("999999"), F.lit("n.n.")))))
+    )
+
+
 def report_samples(w: Warehouse) -> DataFrame:
     return reports.sample(w.shape("artworks"), ["object_id", "title"], "title", [F.col("object_id").cast("bigint")])
 
@@ -436,6 +464,8 @@ QUERIES: dict[str, Build] = {
     "gate_not_null": gate_not_null,
     "gate_declared": gate_declared,
     "report_table_counts": report_table_counts,
+    "report_transformed_counts": report_transformed_counts,
+    "load_rejects": load_rejects,
     "report_samples": report_samples,
     "report_movement_samples": report_movement_samples,
     "report_name_samples": report_name_samples,

@@ -45,8 +45,8 @@ FROM (SELECT o_orderkey AS k, o_orderpriority AS p, o_orderstatus AS st,
 # External ids repeat in pairs, nationalities are padded and in mixed case.
 ARTISTS = """
 SELECT CAST(s_suppkey + 1 AS string) AS constituent_id, s_name AS display_name,
-  CASE CAST(s_suppkey % 5 AS int) WHEN 0 THEN ' ' || lower(n_name) || ' ' WHEN 1 THEN upper(n_name)
-    WHEN 4 THEN NULL ELSE n_name END AS nationality,
+  CASE CAST(s_suppkey % 5 AS int) WHEN 0 THEN ' ' || lower(n_name) || 'ian ' WHEN 1 THEN upper(n_name) || 'IAN'
+    WHEN 4 THEN NULL ELSE n_name || 'ian' END AS nationality,
   CASE CAST(s_suppkey % 8 AS int) WHEN 0 THEN 'male' WHEN 1 THEN 'M' WHEN 2 THEN '(Female)' WHEN 3 THEN ' f '
     WHEN 4 THEN 'Non-Binary' WHEN 5 THEN 'other' WHEN 6 THEN '' END AS gender,
   CASE CAST(s_suppkey % 6 AS int) WHEN 0 THEN '0' WHEN 1 THEN 'abc'
@@ -93,21 +93,21 @@ BINDINGS_ORACLE = _BINDING_COLUMNS + """
   FROM (SELECT DISTINCT CAST(floor(s_suppkey / 2) AS int) AS k FROM {supplier}) i) b
 """
 
-# ISO-2 codes repeat.
+# ISO-2 codes repeat. The list is in no alphabetical order: of 25 countries, every 7th.
 COUNTRIES = """
 SELECT ' ' || n_name AS country_name, 'N' || CAST(n_nationkey % 20 AS string) AS country_code_iso2,
   'NX' || CAST(n_nationkey AS string) AS country_code_iso3, r_name AS continent, r_name AS region,
   CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE r_name || ' sub' END AS subregion,
-  CAST(n_nationkey AS double) AS latitude, CAST(-n_nationkey AS double) AS longitude, lower(n_name) AS nationality
+  CAST(n_nationkey AS double) AS latitude, CAST(-n_nationkey AS double) AS longitude, CAST(n_nationkey * 7 % 25 AS int) AS listed
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 """
 
-# The value of 1998 is missing in the second series, the whole year 1999 in both.
+# The value of 1998 is missing in the second series, that of 1999 in both.
 SERIES = """
-SELECT year, gdp, CASE WHEN year = 1998 THEN NULL ELSE cpi END AS cpi
+SELECT year, CASE WHEN year = 1999 THEN NULL ELSE gdp END AS gdp,
+  CASE WHEN year IN (1998, 1999) THEN NULL ELSE cpi END AS cpi
 FROM (SELECT CAST(year(o_orderdate) AS int) AS year, CAST(sum(CAST(o_totalprice AS decimal(18,2))) AS decimal(18,2)) AS gdp,
         round(CAST(avg(CAST(o_totalprice AS decimal(18,2))) AS double), 2) AS cpi FROM {orders} GROUP BY 1) z
-WHERE year <> 1999
 """
 
 # Dates per month, for the yearly resampling.
