@@ -24,13 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starhouse.llm.common import columns_but, quoted, stored
+from starhouse.llm.common import columns_but, quoted, slices, stored
 
 WINDOW = 13
 PIECE = 2_000
 BLOCK = 200_000
-#: Texts of a batch that are held as words at once, in characters.
-_HELD = 1 << 22
 _LOWER = bytes(x + 32 if 65 <= x <= 90 else 32 if x < 48 or 58 <= x <= 96 or 123 <= x <= 127 else x for x in range(256))
 
 RESULT = T.StructType([
@@ -230,7 +228,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = Automaton.of(blocks[0].value, window) if len(blocks) == 1 else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             spans: list[list[tuple[int, int]]] = [[] for _ in texts]
             items: list[set[str]] = [set() for _ in texts]
@@ -297,7 +295,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int
     left = found.filter(~contaminated(parts=parts))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = batch.column(2).to_pylist()
             texts = [
                 cut_spans(value, [(x["first"], x["last"]) for x in own]) if own else value

@@ -53,7 +53,7 @@ def feistel(number: Column, n: int, seed: int = SEED) -> Column:
     """One walk: a permutation of the numbers below a * b."""
     a, b = _bases(n)
     rounds = F.array(*[F.struct(F.lit(key).cast("long").alias("key"), F.lit(k % 2 == 0).alias("left")) for k, key in enumerate(_keys(seed))])
-    digits = F.struct(((number - number % b) / b).cast("long").alias("left"), (number % b).cast("long").alias("right"))
+    digits = F.struct(F.call_function("div", number, F.lit(b)).cast("long").alias("left"), (number % b).cast("long").alias("right"))
     return F.aggregate(
         rounds, digits,
         lambda x, step: F.struct(
@@ -74,22 +74,21 @@ def permuted(number: Column, n: int, seed: int = SEED) -> Column:
     return F.when(once < n, once).otherwise(walked)
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "number") -> DataFrame:
-    """``df`` with a gapless row number from 0 in the order of the columns ``order``.
+def numbered(keys: DataFrame, order: list[str], count: str) -> DataFrame:
+    """``keys`` with number: the sum of ``count`` over all rows before, in the order of the columns ``order``.
 
-    Rows that are equal in those columns get neighbouring numbers, in any order. The input is written
-    to the shared folder, cut into ranges of about RANGE_ROWS rows.
+    The input is written to the shared folder, cut into ranges of about RANGE_ROWS rows.
     """
-    ranges = max(1, math.ceil(df.count() / RANGE_ROWS))
-    dealt = stored(df.repartitionByRange(ranges, *map(quoted, order)).withColumn("__range", F.spark_partition_id()), "ranges")
-    counts = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = max(1, math.ceil(keys.count() / RANGE_ROWS))
+    dealt = stored(keys.repartitionByRange(ranges, *map(quoted, order)).withColumn("range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("range").agg(F.sum(count).alias("sum"))
     # One row per range: a hundred-thousandth of the input.
-    offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*map(quoted, order)))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("range", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+    inside = F.sum(count).over(Window.partitionBy("range").orderBy(*map(quoted, order)).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        dealt.withColumn("__place", inside).join(offsets, "__range")
-        .withColumn(name, F.col("__offset") + F.col("__place") - 1).drop("__range", "__place", "__offset")
+        dealt.withColumn("to", inside).join(offsets, "range")
+        .withColumn("number", F.col("offset") + F.col("to") - F.col(count)).drop("range", "to", "offset")
     )
 
 
@@ -98,15 +97,21 @@ def shard(docs: DataFrame, shards: int = 8, order: list[str] | None = None, seed
 
     The order of numbering is that of the columns ``order``: doc_id, unless given. Shards' counts are at
     most one apart. Rows whose order columns are null come first; rows that are equal in them, such as
-    repeated rows, get places of their own, and which gets which may differ between runs if the rest of the
-    row differs. The same rows get the same places, however they are stored or partitioned. An empty table
-    stays empty.
+    repeated rows, get neighbouring numbers, and which gets which may differ between runs if the rest of the
+    row differs; they meet in one task. The same rows get the same places, however they are stored or
+    partitioned. An empty table stays empty.
+
+    Only the order columns are numbered. Whole rows are shuffled once, to meet their numbers.
     """
     kept = columns_but(docs, ("shard", "slot"))
-    order = order or ["doc_id"]
-    keys = {f"key{k}": quoted(x) for k, x in enumerate(order)}
-    rows = numbered(docs.select(F.struct(*map(quoted, kept)).alias("row"), *[x.alias(k) for k, x in keys.items()]), list(keys))
-    n = docs.count()
-    place = permuted(F.col("number"), n, seed)
-    return rows.withColumn("place", place).select(
+    keys = {f"key{k}": quoted(x) for k, x in enumerate(order or ["doc_id"])}
+    named = [x.alias(k) for k, x in keys.items()]
+    counts = stored(docs.select(*named).groupBy(*keys).agg(F.count("*").alias("n")), "keys")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    numbers = stored(numbered(counts, list(keys), "n"), "numbers")
+    alike = Window.partitionBy(*[F.col(f"d.{k}") for k in keys]).orderBy(F.lit(1))
+    rows = docs.select(F.struct(*map(quoted, kept)).alias("row"), *named).alias("d").withColumn("copy", F.row_number().over(alike))
+    rows = rows.join(numbers.alias("n"), [F.col(f"d.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    place = permuted(F.col("number") + F.col("copy") - 1, total, seed)
+    return rows.select("row", place.alias("place")).select(
         "row.*", (F.col("place") % shards).cast("int").alias("shard"), F.expr(f"place div {shards}").alias("slot"))
