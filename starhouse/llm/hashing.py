@@ -5,12 +5,13 @@ from __future__ import annotations
 import numpy as np
 
 _RANDOM = np.random.Generator(np.random.PCG64(90_210))
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 #: Odd factors that tell the places of a sequence apart.
 FACTORS = _RANDOM.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
-_POWER = np.uint64(int(_RANDOM.integers(1 << 60, 1 << 63)) | 5)
+_FIRST, _NEXT = (np.uint64(int(x) | 1) for x in _RANDOM.integers(1 << 60, 1 << 63, 2))
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
+#: The first k bytes of eight, the lowest being the first.
+_HEADS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -21,19 +22,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of some bytes, cut at ASCII white space, and where they start."""
-    codes = np.frombuffer(raw, dtype=np.uint8)
-    space = _SPACES[codes]
-    begins = ~space
-    begins[1:] &= space[:-1]
-    starts = np.flatnonzero(begins)
-    if not starts.size:
-        return np.zeros(0, dtype=np.uint64), starts
-    lengths = np.diff(np.append(starts, len(codes)))
-    place = np.arange(len(codes) - starts[0]) - np.repeat(starts - starts[0], lengths)
-    powers = np.full(int(lengths.max()), _POWER, dtype=np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    terms = _BYTE[codes[starts[0]:]] * powers[place]
-    terms[space[starts[0]:]] = 0
-    return mixed(np.add.reduceat(terms, starts - starts[0])), starts
+    """Hashes of the words of some bytes, cut at ASCII white space, and where they start.
+
+    Words are read eight bytes at a time: most are done after one or two steps.
+    """
+    space = _SPACES[np.frombuffer(raw, dtype=np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    out = lengths.astype(np.uint64) * _FIRST
+    rows, step = np.arange(len(starts)), 0
+    while rows.size:
+        left = lengths[rows] - step
+        out[rows] = mixed(out[rows] * _NEXT + (eights[starts[rows] + step] & _HEADS[np.minimum(left, 8)]))
+        rows, step = rows[left > 8], step + 8
+    return out, starts

@@ -26,56 +26,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import quoted, stored
+from starhouse.llm.common import per_group, quoted, slices, stored
 from starhouse.llm.components import components
+from starhouse.llm.hashing import FACTORS, mixed, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 32, 8
 PLACES = BANDS * ROWS
 #: Percent of the union that the intersection of two linked sets has at least.
 PERCENT = 85
-#: Shingles of a block: what one task compares is two blocks.
-BLOCK = 200_000
+#: Shingles of a block, at most and at least; what one task compares is two blocks. A cluster of more than the least
+#: has up to PARTS blocks before they grow.
+BLOCK, LEAST_BLOCK, PARTS = 200_000, 32_000, 16
+SMALL = 200
 #: Shingles whose permutations are walked at once.
-_WALKED = 100_000
+_WALKED = 50_000
 #: Characters that are hashed at once; a longer text is hashed alone.
-_HASHED = 1 << 22
+_HASHED = 1 << 20
 _COLUMNS = 4096
 
-_RANDOM = np.random.Generator(np.random.PCG64(90_210))
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_FACTOR = _RANDOM.integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
-_ROW_FACTOR = _RANDOM.integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
-_POWER = np.uint64(int(_RANDOM.integers(1 << 60, 1 << 63)) | 5)
 _GOLDEN = 0x9E3779B97F4A7C15
-_SPACES = np.zeros(256, dtype=bool)
-_SPACES[[9, 10, 11, 12, 13, 32]] = True
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers without visible order (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of some bytes, and where they start."""
-    codes = np.frombuffer(raw, dtype=np.uint8)
-    space = _SPACES[codes]
-    begins = ~space
-    begins[1:] &= space[:-1]
-    starts = np.flatnonzero(begins)
-    if not starts.size:
-        return np.zeros(0, dtype=np.uint64), starts
-    lengths = np.diff(np.append(starts, len(codes)))
-    place = np.arange(len(codes) - starts[0]) - np.repeat(starts - starts[0], lengths)
-    powers = np.full(int(lengths.max()), _POWER, dtype=np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    terms = _BYTE[codes[starts[0]:]] * powers[place]
-    terms[space[starts[0]:]] = 0
-    return _mixed(np.add.reduceat(terms, starts - starts[0])), starts
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -94,21 +64,21 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def _sets(raw: list[bytes]) -> list[np.ndarray]:
-    hashes, starts = _word_hashes(b"\n".join(raw))
+    hashes, starts = word_hashes(b"\n".join(raw))
     ends = np.cumsum([len(x) + 1 for x in raw])
     bounds = np.searchsorted(starts, ends).tolist()
     sums = np.zeros(max(0, len(hashes) - SHINGLE + 1), dtype=np.uint64)
     for k in range(SHINGLE):
-        sums += hashes[k : k + len(sums)] * _FACTOR[k]
-    sums = _mixed(sums + _FACTOR[SHINGLE] * np.uint64(SHINGLE))
+        sums += hashes[k : k + len(sums)] * FACTORS[k]
+    sums = mixed(sums + FACTORS[SHINGLE] * np.uint64(SHINGLE))
     out, first = [], 0
     for last in bounds:
         n = last - first
         if n >= SHINGLE:
             out.append(np.unique(sums[first : last - SHINGLE + 1]))
         elif n:
-            whole = (hashes[first:last] * _FACTOR[:n]).sum(dtype=np.uint64, keepdims=True)
-            out.append(_mixed(whole + _FACTOR[SHINGLE] * np.uint64(n)))
+            whole = (hashes[first:last] * FACTORS[:n]).sum(dtype=np.uint64, keepdims=True)
+            out.append(mixed(whole + FACTORS[SHINGLE] * np.uint64(n)))
         else:
             out.append(np.zeros(0, dtype=np.uint64))
         first = last
@@ -143,7 +113,7 @@ def _walk(sets: list[np.ndarray], out: np.ndarray) -> None:
     order: np.ndarray | None = None
     flat = out.reshape(-1)
     for step in range(PLACES):
-        draw = _mixed(elements + np.uint64((step + 1) * _GOLDEN % (1 << 64)))
+        draw = mixed(elements + np.uint64((step + 1) * _GOLDEN % (1 << 64)))
         to = step + (((draw >> np.uint64(32)) * np.uint64(PLACES - step)) >> np.uint64(32)).astype(np.int64)
         value = (draw & np.uint64(0xFFFFFFFF)) | np.uint64(step << 32)
         if order is None and step == 0:
@@ -173,21 +143,19 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
     bands = signature.reshape(len(signature), BANDS, ROWS)
     sums = np.zeros(bands.shape[:2], dtype=np.uint64)
     for k in range(ROWS):
-        sums += _mixed(bands[:, :, k] + np.uint64(k)) * _ROW_FACTOR[k]
-    return _mixed(sums + np.arange(BANDS, dtype=np.uint64))
+        sums += mixed(bands[:, :, k] + np.uint64(k)) * FACTORS[SHINGLE + 1 + k]
+    return mixed(sums + np.arange(BANDS, dtype=np.uint64))
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for start in range(0, whole.num_rows, 1024):
-            batch = whole.slice(start, 1024)
-            sets = shingle_sets(batch.column(1).to_pylist())
-            bands = band_hashes(signatures(sets)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
-                pa.array([x if len(s) else None for x, s in zip(bands, sets, strict=True)], pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "digest", "bands"])
+    for batch in slices(batches):
+        sets = shingle_sets(batch.column(1).to_pylist())
+        bands = band_hashes(signatures(sets)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
+            pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
+            pa.array([x if len(s) else None for x, s in zip(bands, sets, strict=True)], pa.list_(pa.int64())),
+        ], names=["doc_id", "n_shingles", "digest", "bands"])
 
 
 def _labels(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -231,44 +199,26 @@ def _links(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: i
     return [(a, b) for a, b in zip(ids.tolist(), labels.tolist(), strict=True) if a != b]
 
 
-def verified_links(members: DataFrame, percent: int) -> DataFrame:
-    """node and least: links within clusters. ``members``: cluster, doc_id, n_shingles and text of one document per class."""
-    weights = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
-    weights = stored(weights, "clusters")
+def verified_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """node and least: links within clusters. ``members``: cluster, doc_id and n_shingles of a document per class; ``texts``: doc_id, text."""
+    # A document weighs as many shingles as it has and SMALL: blocks of short documents stay few documents too.
+    total = F.sum(F.col("n_shingles") + SMALL)
+    size = F.greatest(F.lit(LEAST_BLOCK), F.least(F.lit(BLOCK), total / PARTS))
+    weights = members.groupBy("cluster").agg(F.ceil(total / size).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.col("blocks")).cast("int")
-    mine = members.join(weights, "cluster").withColumn("block", block)
+    dealt = stored(members.join(weights, "cluster").select("cluster", "doc_id", "blocks", block.alias("block")), "dealt")
+    mine = texts.join(dealt, "doc_id")
     # A document goes to each pair of blocks that its own belongs to: as often as its cluster has blocks.
     pairs = mine.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "doc_id", "text")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(key, rows) -> list[tuple[int, int]]:
-            ids = np.array([x[0] for x in rows], dtype=np.int64)
-            side = np.array([x[1] for x in rows])
-            return _links(ids, side, shingle_sets([x[2] for x in rows]), percent) if len(rows) > 1 else []
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        _, _, _, side, ids, own = zip(*rows, strict=True)
+        return _links(np.array(ids, dtype=np.int64), np.array(side), shingle_sets(list(own)), percent)
 
-        key, rows = None, []
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for cluster, low, high, side, doc_id, text in zip(*[x.to_pylist() for x in batch.columns], strict=True):
-                if key != (cluster, low, high):
-                    if rows:
-                        found += out(key, rows)
-                    key, rows = (cluster, low, high), []
-                rows.append((doc_id, side, text))
-            yield _pairs(found)
-        if rows:
-            yield _pairs(out(key, rows))
-
-    return (
-        pairs.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
-        .mapInArrow(compare, "node long, least long")
-    )
-
-
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["node", "least"])
+    return per_group(pairs, ["cluster", "low", "high"], compare, "node long, least long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -293,9 +243,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     members = stored(clusters.union(clusters.select(F.col("least").alias("node"), "least").distinct()), "members")
     sizes = full.select(F.col("doc_id").alias("node"), "n_shingles", "digest")
     compared = members.join(sizes, "node").join(classes.select(F.col("class_id").alias("node"), "digest"), ["node", "digest"], "left_semi")
-    compared = stored(compared.select("node", F.col("least").alias("cluster"), "n_shingles").distinct(), "compared")
-    rows = texts.join(compared, texts.doc_id == compared.node).select("cluster", "doc_id", "n_shingles", "text")
-    links = stored(verified_links(rows, percent), "links")
+    compared = stored(compared.select(F.col("least").alias("cluster"), F.col("node").alias("doc_id"), "n_shingles").distinct(), "compared")
+    links = stored(verified_links(compared, texts, percent), "links")
     # Rows of one id may be of several classes, whose heads are then linked by that id.
     of_class = full.join(classes, "digest").select("doc_id", "class_id").distinct()
     same_id = of_class.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).filter("a != b")
