@@ -73,6 +73,16 @@ def test_split_reading_equals_whole_reading(spark, tmp_path, newline, block):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize(("text", "message"), [
+    ("Title,ObjectID\nBoat,1\n", "other columns"), ("ObjectID,Title,Medium\n1,Boat,ink\n", "other columns"),
+    ('ObjectID,Title\n1,"Boat\n2,Tree\n', "does not end"), ("ObjectID\n1\n", "other columns"),
+])
+def test_split_reading_refuses_other_headers_and_open_quotes(spark, tmp_path, text, message):
+    (tmp_path / "a.csv").write_text(text)
+    with pytest.raises(Exception, match=message):
+        csv_source.read_big_csv_text(spark, str(tmp_path), ["ObjectID", "Title"]).collect()
+
+
 COUNTRIES = [
     {"name": {"common": " France "}, "cca2": "FR", "cca3": "FRA", "region": "Europe", "subregion": "Western Europe",
      "continents": ["Europe", "Other"], "latlng": [46.0, 2.0]},
