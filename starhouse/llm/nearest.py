@@ -29,6 +29,8 @@ from starhouse.llm.common import quoted, stored
 
 #: Vectors from which rotations and the radius are learned, and those of them that act as queries.
 SAMPLE, SAMPLE_QUERIES = 4096, 256
+#: Lengths that the vectors of a table may have: each is searched apart.
+MAX_LENGTHS = 64
 #: Bits of a code, at least: as many rotations as are needed.
 BITS = 256
 TURNS = 25
@@ -203,14 +205,17 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
 
     ``is_query`` marks queries; candidates are all rows but those of the query's id. Ties go to the smaller vec_id.
     Ids are whole numbers. A row without id, or whose vector is null, empty or zero or has null or non-finite
-    components, takes no part. Vectors of different lengths are never compared. Repeated rows count once; of
+    components, takes no part. Vectors of different lengths are never compared; more than
+    MAX_LENGTHS lengths raise an error. Repeated rows count once; of
     several vectors of one id, the smallest is the query and the nearest the candidate. An empty table gives no rows.
     """
     spark = table.sparkSession
     rows = table.withColumn("__query", F.coalesce(is_query, F.lit(False))).select(
         quoted(vec_id).cast("long").alias("vec_id"), quoted(vector).cast("array<double>").alias("vector"), "__query"
     ).filter(usable("vec_id", "vector"))
-    lengths = [x[0] for x in rows.select(F.size("vector")).distinct().limit(1000).collect()]
+    lengths = [x[0] for x in rows.select(F.size("vector")).distinct().limit(MAX_LENGTHS + 1).collect()]
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
     parts = []
     for length in sorted(lengths):
         alike = rows.filter(F.size("vector") == length)
