@@ -35,7 +35,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     dropped = stored(line_dedup.duplicate_lines(docs), "dropped")
-    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1
     return docs.select("doc_id", F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines")).join(dropped, "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped_lines"))
@@ -54,7 +54,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = stored(mixing.sizes(table(spark, sf_dir, "documents")), "sizes")
     targets = stored(mixing.capped_targets(mixing.cyclic_weights(sized)), "targets")
     taken = mixing.take(sized, mixing.plan(sized, targets)).alias("d")
-    return taken.join(F.broadcast(targets.alias("t")), F.col("d.source").eqNullSafe(F.col("t.source")), "left").select(
+    return taken.join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")), "left").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
