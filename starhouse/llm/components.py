@@ -19,11 +19,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select(F.col("high").alias("node"), F.col("low").alias("other")).union(
             edges.select(F.col("low").alias("node"), F.col("high").alias("other")))
         least = both.groupBy("node").agg(F.min("other").alias("least"))
-        least = least.select("node", F.least("node", "least").alias("least"))
+        # Written first, so that the join reads two plain tables and adaptive execution can split a node of many edges.
+        least = stored(least.select("node", F.least("node", "least").alias("least")), "least")
         up = edges.select(F.col("low").alias("node"), F.col("high").alias("other"))
         out = up.join(least, "node").select(F.col("other").alias("high"), F.col("least").alias("low"))
     else:
-        least = edges.groupBy("high").agg(F.min("low").alias("least"))
+        least = stored(edges.groupBy("high").agg(F.min("low").alias("least")), "least")
         moved = edges.join(least, "high")
         out = moved.select(F.col("low").alias("high"), F.col("least").alias("low")).union(
             least.select("high", F.col("least").alias("low")))
