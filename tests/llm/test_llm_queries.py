@@ -31,4 +31,4 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {x.split("_")[0] for x in LLM_QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {x.split("_")[0] for x in LLM_QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
