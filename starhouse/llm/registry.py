@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starhouse.llm import decontamination, language_id, line_dedup, mixing, near_dedup, nearest, personal_data, sharding
-from starhouse.llm import collocations, license_query, quality_rules, url_queries
+from starhouse.llm import collocations, hard_negatives, license_query, quality_rules, url_queries
 from starhouse.llm.common import stored, table
 
 
@@ -75,6 +75,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -94,6 +100,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
     "op10_nearest": op10_nearest,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
     "op13_quality_rules": op13_quality_rules,
     "pipeline": corpus_pipeline.run,
@@ -102,6 +109,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLE: dict[str, str] = {
     "op1_licenses": license_query.ORACLE,
     "op2_url_filters": url_queries.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op12_collocations": collocations.ORACLE,
     "op13_quality_rules": quality_rules.ORACLE,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
