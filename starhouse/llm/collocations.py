@@ -10,7 +10,7 @@
    fixed size whatever the corpus; its chance hits only cost time, as every count that is kept is exact.
 4. Frequent phrases, few against the corpus, meet the counts of their parts by joins.
 
-Nothing is grouped by language alone but the last ranking, whose groups are cut to TOP rows by salt first.
+Nothing is grouped by language alone: also the last ranking goes by ranges of the order.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ UNKNOWN = "und"
 MODULUS = 16
 #: The bitmap of frequent phrases has 2 ** BITS bits: 8 MB.
 BITS = 26
-SALTS = 16
 #: Bytes of text, or words of chunks, that a task works on at once. A longer text is worked on alone.
 AT_ONCE = 1 << 20
 
@@ -260,11 +259,21 @@ def collocations(docs: DataFrame, text: str = "text", label: str = "lang", longe
     covered = stored(_covered(counts), "covered")
     open_ones = stored(_scored(counts), "scored").join(covered, ["lang", "phrase"], "left").filter(
         F.coalesce(100 * F.col("inside") < inside * F.col("a"), F.lit(True)))
+    return _ranked(open_ones, top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _ranked(phrases: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` phrases of each language with their rank. No task sorts a whole language.
+
+    Ranges of the order are counted, which gives each the rank it begins with; only those that begin early enough are sorted.
+    """
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salted = open_ones.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
-    few = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranges = stored(phrases.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id()), "ranges")
+    before = F.sum("rows").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = ranges.groupBy("lang", "part").agg(F.count("*").alias("rows")).withColumn("before", F.coalesce(before, F.lit(0)))
+    early = stored(counts.filter(F.col("before") < top).select("lang", "part", "before"), "early")
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    return ranges.join(early, ["lang", "part"]).withColumn("rank", (F.col("before") + place).cast("long")).filter(F.col("rank") <= top)
 
 
 #: The same in DuckDB SQL.

@@ -29,6 +29,8 @@ from starhouse.llm.common import columns_but, quoted, slices, stored
 WINDOW = 13
 PIECE = 2_000
 BLOCK = 200_000
+#: Documents that a task holds at a time where there are several blocks.
+HELD = 10_000
 _LOWER = bytes(x + 32 if 65 <= x <= 90 else 32 if x < 48 or 58 <= x <= 96 or 123 <= x <= 127 else x for x in range(256))
 
 RESULT = T.StructType([
@@ -195,17 +197,44 @@ def pieces(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame
     return rows.mapInArrow(cut, "item string, piece long, words binary, n_words long").distinct()
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int) -> list:
-    """Broadcasts of (item, words) lists, each of about BLOCK words."""
-    spark = benchmark.sparkSession
-    cut = stored(pieces(benchmark, item, text, window), "pieces")
-    total = cut.agg(F.sum("n_words")).first()[0] or 0
-    n = max(1, math.ceil(total / BLOCK))
-    block = F.pmod(F.xxhash64("item", "piece"), F.lit(n))
-    return [
-        spark.sparkContext.broadcast([(x["item"], bytes(x["words"])) for x in cut.filter(block == k).select("item", "words").collect()])
-        for k in range(n)
-    ]
+class _Searcher:
+    """Finds the windows of a benchmark in batches of texts.
+
+    The pieces are a written table of ``n`` blocks of about BLOCK words, each a broadcast of its own: one automaton's worth.
+    Blocks are taken one after the other, each automaton once for all the documents that a task holds at a time.
+    """
+
+    def __init__(self, benchmark: DataFrame, item: str, text: str, window: int) -> None:
+        spark = benchmark.sparkSession
+        cut = stored(pieces(benchmark, item, text, window), "pieces")
+        total = cut.agg(F.sum("n_words")).first()[0] or 0
+        n = max(1, math.ceil(total / BLOCK))
+        block = F.pmod(F.xxhash64("item", "piece"), F.lit(n))
+        self.window = window
+        self.blocks = [
+            spark.sparkContext.broadcast([(x["item"], bytes(x["words"])) for x in cut.filter(block == k).select("item", "words").collect()])
+            for k in range(n)
+        ]
+
+    def searched(self, batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple]:
+        """For each batch: itself, its texts, their numbers of words, hit spans (merged), and items found."""
+        only = Automaton.of(self.blocks[0].value, self.window) if len(self.blocks) == 1 else None
+        # With one automaton little is held; with many, batches are as large as memory allows, so that few are built anew.
+        for batch in slices(batches, 512 if only else HELD):
+            texts = batch.column(place).to_pylist()
+            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+            items: list[set[str]] = [set() for _ in texts]
+            counts = [0] * len(texts)
+            for block in self.blocks:
+                automaton = only or Automaton.of(block.value, self.window)
+                for k, value in enumerate(texts):
+                    if value:
+                        found = words(value)
+                        counts[k] = len(found)
+                        hit, owners = automaton.spans(found)
+                        spans[k] += hit
+                        items[k] |= owners
+            yield batch, texts, counts, list(map(merged, spans)), items
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -218,7 +247,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     text has no words; null items, and items without id, have no windows. Repeated rows and items count once
     each in their own row; an empty benchmark hits nothing.
     """
-    blocks = _blocks(benchmark, item, item_text, window)
+    searcher = _Searcher(benchmark, item, item_text, window)
     kept = columns_but(docs, ["found"])
     narrow = docs.select(F.struct(*map(quoted, kept)).alias("row"), quoted(text).cast("string").alias("text"))
     kind = pa.struct([
@@ -227,28 +256,14 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     ])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = Automaton.of(blocks[0].value, window) if len(blocks) == 1 else None
-        for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-            items: list[set[str]] = [set() for _ in texts]
-            counts = [0] * len(texts)
-            for block in blocks:
-                automaton = only or Automaton.of(block.value, window)
-                for k, value in enumerate(texts):
-                    if value:
-                        found = words(value)
-                        counts[k] = len(found)
-                        hit, owners = automaton.spans(found)
-                        spans[k] += hit
-                        items[k] |= owners
-            rows = []
-            for n, hit, owners in zip(counts, spans, items, strict=True):
-                hit = merged(hit)
-                rows.append({
+        for batch, _, counts, spans, items in searcher.searched(batches, 1):
+            rows = [
+                {
                     "n_words": n, "n_hit": sum(last - first + 1 for first, last in hit), "items": sorted(owners),
                     "spans": [{"first": first, "last": last} for first, last in hit],
-                })
+                }
+                for n, hit, owners in zip(counts, spans, items, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["row", "found"])
 
     schema = T.StructType([narrow.schema["row"], T.StructField("found", RESULT)])
@@ -283,37 +298,29 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int = 20, lengths: str | None = None) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int = 20, lengths: str | None = None,
+          item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """Documents without benchmark passages, with the columns of ``docs``.
 
     A document goes if its coverage reaches the limit (see ``contaminated``); of any other, the hit spans
     are cut out of the text, and the column ``lengths``, if named, becomes the new text's number of characters.
-    Documents without a hit stay as they are, null and empty texts too.
+    Documents without a hit stay as they are, null and empty texts too. Each text goes to Python once: what is
+    found is cut at once. ``text`` is a column of strings.
     """
-    names = docs.columns
-    found = find(docs.select(F.struct(*map(quoted, names)).alias("doc"), quoted(text).alias("text")), benchmark)
-    left = found.filter(~contaminated(parts=parts))
+    searcher = _Searcher(benchmark, item, item_text, window)
+    place, size = docs.columns.index(text), docs.columns.index(lengths) if lengths else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            spans = batch.column(2).to_pylist()
-            texts = [
-                cut_spans(value, [(x["first"], x["last"]) for x in own]) if own else value
-                for value, own in zip(batch.column(1).to_pylist(), spans, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string()), pa.array(list(map(bool, spans)))], names=["doc", "text", "changed"])
-
-    narrow = left.select("doc", "text", "found.spans")
-    changed = T.StructField("changed", T.BooleanType())
-    done = narrow.mapInArrow(cut, T.StructType([narrow.schema["doc"], T.StructField("text", T.StringType()), changed]))
-
-    def column(name: str):
-        old = F.col("doc").getField(name)
-        if name == text:
-            return F.col("text").alias(name)
-        if name == lengths:
-            return F.when(F.col("changed"), F.length("text").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
-        return old.alias(name)
-
-    return done.select(*map(column, names))
+        for batch, texts, counts, spans, _ in searcher.searched(batches, place):
+            hits = [sum(last - first + 1 for first, last in own) for own in spans]
+            left = [not n or parts * n < of for n, of in zip(hits, counts, strict=True)]
+            columns = list(batch.columns)
+            if any(n and kept for n, kept in zip(hits, left, strict=True)):
+                new = [cut_spans(value, own) if own and kept else value for value, own, kept in zip(texts, spans, left, strict=True)]
+                columns[place] = pa.array(new, columns[place].type)
+                if size is not None:
+                    old = columns[size].to_pylist()
+                    columns[size] = pa.array([len(x) if own and kept else n for x, own, kept, n in zip(new, spans, left, old, strict=True)], columns[size].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(left))
+
+    return docs.mapInArrow(cut, docs.schema)

@@ -103,3 +103,21 @@ def test_families_and_odd_rows(spark, monkeypatch, block):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert N.near_duplicates(docs).count() == 0 and N.distinct_documents(docs).count() == 0
+
+
+def test_each_text_of_an_id_stays_once_by_a_fixed_order(spark):
+    """Repeated rows stay once, different texts of one id all stay, and what comes with them does not depend on partitions."""
+    rows = [(1, "one two three four five six", "b", 2), (1, "one two three four five six", "a", 9), (1, "seven eight nine", "z", 1),
+            (1, None, "y", 0), (1, None, "x", 5), (2, "one two three four five six", "a", 1), (None, "q", "n", 1), (None, "q", "n", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, one int")
+    expected = sorted([rows[1], rows[2], rows[4], rows[6], rows[7]], key=repr)
+    for n in (1, 3, 7):
+        found = N.distinct_documents(docs.repartition(n, "one"), percent=80)
+        assert found.columns == docs.columns and sorted(map(tuple, found.collect()), key=repr) == expected
+
+
+def test_bands_find_pairs_at_their_threshold():
+    for percent in (60, 70, 80, 85, 90, 95):
+        rows = N.rows_of_band(percent)
+        assert (1 - (percent / 100) ** rows) ** (N.PLACES // rows) < 4e-4
+    assert N.rows_of_band(85) == 8 and N.rows_of_band(80) == 7

@@ -14,28 +14,46 @@ from starhouse.llm.common import stored
 SF_DIR = "/root/testdata/sf0.001"
 
 
+FOREIGN = {
+    9004: "Привет мир, как дела сегодня, мы идем домой и читаем книгу", 9005: "日本語のテキストです。今日は天気がいいですね。",
+    9006: "Hyvää päivää maailma mitä kuuluu tänään olemme menossa kotiin lukemaan kirjaa ja syömään hyvää ruokaa",
+    9007: "Καλημέρα κόσμε, τι κάνεις σήμερα, πάμε σπίτι να διαβάσουμε ένα βιβλίο", 9008: "zxqj vkkp wqzx jjqk pvvx qqzk xjwv kkqz wxpj vqqz",
+}
+CLEAN = {9011: "the house is red", 9012: "en la casa de la que los", 9013: "the and of that is in to " * 30, 9014: "der und die das ist nicht in den " * 9}
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     extra = spark.createDataFrame([(9001, "1234 !?", "en", "src1", 7), (9002, None, "en", None, None), (9003, "", None, "src1", 0)], docs.schema)
-    found = {"documents": docs.union(extra)}
+    planted = spark.createDataFrame([(i, text, None, "src1", len(text)) for i, text in (FOREIGN | CLEAN).items()], docs.schema)
+    found = {"documents": docs.union(extra).union(planted)}
     docs = found["documents"]
     for name, stage in C.STAGES:
         docs = found[name] = stored(stage(spark, docs, SF_DIR), name)
     return {name: df.collect() for name, df in found.items()}
 
 
+def tables_schema(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+
+
 def rows(table):
     return sorted((tuple(x[c] for c in C.COLUMNS) for x in table), key=repr)
 
 
-def test_language_stage_keeps_texts_with_letters(tables):
-    assert rows(tables["language_id"]) == rows(x for x in tables["documents"] if x["doc_id"] < 9001)
+def test_language_stage_keeps_learned_languages(tables):
+    """Unlearned scripts and languages, noise, and texts without letters go; short clean texts stay, and hardly a document is lost."""
+    kept, ids = rows(tables["language_id"]), {x["doc_id"] for x in tables["language_id"]}
+    assert set(kept) <= set(rows(tables["documents"])) and len(kept) == len(ids)
+    assert not ids & ({9001, 9002, 9003} | set(FOREIGN)) and set(CLEAN) <= ids
+    lost = [x for x in tables["documents"] if x["doc_id"] < 9001 and x["doc_id"] not in ids]
+    assert len(lost) <= 2 and all(sum(map(str.isalpha, x["text"])) < 16 for x in lost)
 
 
 def test_near_duplicate_stage_keeps_one_of_each_group(tables):
     before = tables["language_id"]
-    kept = {x[0] for x in components([(x["doc_id"], x["text"]) for x in before]) if x[3]}
+    kept = {x[0] for x in components([(x["doc_id"], x["text"]) for x in before], 80) if x[3]}
     assert 0 < len(kept) < len(before)
     assert rows(tables["near_dedup"]) == rows(x for x in before if x["doc_id"] in kept)
 
@@ -76,9 +94,11 @@ def test_sharding_stage_places_every_row(tables):
     assert all({x["slot"] for x in last if x["shard"] == s} == set(range(n)) for s, n in counts.items())
 
 
-def test_run_applies_the_stages(spark, tables):
+def test_run_applies_the_stages(spark, tables, tmp_path):
     assert len(C.STAGES) == 5 and C.ORACLE_SQL is None
-    docs = C.run(spark, SF_DIR)
+    spark.createDataFrame(tables["documents"], tables_schema(spark)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = C.run(spark, str(tmp_path))
     assert sorted(x["doc_id"] for x in docs.collect()) == sorted(x["doc_id"] for x in tables["sharding"])
 
 
