@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.functions.text import to_integer
+from starhouse.operators import rejects
 
 
 def listed_artists(staging_artworks: DataFrame) -> DataFrame:
@@ -53,6 +54,27 @@ def build_bridge(
     return known.select("artwork_id", "artist_id", "artists_total", *carry)
 
 
+def tagged_bridge(staging_artworks: DataFrame, artists: DataFrame) -> DataFrame:
+    """The bridge with the listed ids that it leaves out: no whole numbers, or of no artist.
+
+    Every distinct id of a work is one row, good or bad, so that one pass tells them apart.
+    """
+    listed = F.split("constituent_id", ",")
+    works = staging_artworks.where(F.col("constituent_id") != "").select(
+        to_integer(F.col("object_id")).alias("artwork_id"), listed.alias("_listed"),
+        F.size(F.filter(F.transform(listed, to_integer), lambda x: x.isNotNull())).alias("artists_total"),
+    ).where(F.col("artwork_id").isNotNull())
+    ids = works.select("artwork_id", "artists_total", F.explode(F.array_distinct(F.transform(
+        "_listed", lambda x: F.struct(to_integer(x).alias("id"), F.when(to_integer(x).isNull(), x).alias("raw"))))).alias("e"))
+    known = artists.select("artist_id", F.lit(True).alias("_known"))
+    met = ids.select("artwork_id", F.col("e.id").alias("artist_id"), F.col("e.raw").alias("_raw"), "artists_total").join(known, "artist_id", "left")
+    raw, no_number = F.coalesce("_raw", F.col("artist_id").cast("string")), F.col("artist_id").isNull()
+    return rejects.tagged(met, F.col("_known").isNotNull(), F.col("artwork_id"), [
+        ("constituent_id", raw, no_number, rejects.BAD_LIST_ID),
+        ("constituent_id", raw, ~no_number & F.col("_known").isNull(), rejects.UNKNOWN_ARTIST),
+    ]).drop("_raw", "_known")
+
+
 def artist_stats(bridge: DataFrame, artworks: DataFrame | None = None) -> DataFrame:
     """Works and acquisition years per artist; the bridge holds each pair once, so rows are works.
 

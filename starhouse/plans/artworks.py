@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.functions import classify, dates, measures, text
+from starhouse.operators import rejects
 
 STAGING_COLUMNS = (
     "object_id", "title", "date", "medium", "dimensions", "credit_line", "accession_number", "classification",
@@ -49,7 +50,13 @@ def with_acquisition_date(df: DataFrame) -> DataFrame:
 
 def transform_artworks(staging: DataFrame) -> DataFrame:
     """Cleaned artworks.  A width read from a three-part description is its last part."""
-    source = staging.where(F.col("object_id").isNotNull()).select(*STAGING_COLUMNS)
+    return rejects.accepted_rows(tagged_artworks(staging))
+
+
+def tagged_artworks(staging: DataFrame) -> DataFrame:
+    """Cleaned artworks with their rejected values, and rows whose key is bad for the sake of theirs."""
+    raw = {f"_raw_{name}": F.col(name) for name in ("object_id", "height_cm", "width_cm", "date_acquired")}
+    source = staging.where(F.col("object_id").isNotNull()).select(*STAGING_COLUMNS).withColumns(raw)
     parsed = with_acquisition_date(with_dimensions(with_creation_date(source))).withColumn(
         "cataloged", text.is_true(F.col("cataloged"))
     )
@@ -57,7 +64,7 @@ def transform_artworks(staging: DataFrame) -> DataFrame:
         F.col("title"), F.col("date"), F.col("date_acquired"), F.col("height_cm"), F.col("width_cm"),
         F.col("classification"), F.col("cataloged"),
     )
-    return parsed.select(
+    cleaned = parsed.select(
         text.to_integer(F.col("object_id")).alias("artwork_id"),
         "title", "creation_year", F.col("date").alias("creation_date_raw"), "date_certainty",
         "medium", "classification", "department", "height_cm", "width_cm",
@@ -67,4 +74,13 @@ def transform_artworks(staging: DataFrame) -> DataFrame:
         "accession_number", "cataloged", F.col("url").alias("museum_url"), "image_url",
         score.alias("data_quality_score"),
         F.current_timestamp().alias("transformed_at"),
-    ).where(F.col("artwork_id").isNotNull())
+        *raw,
+    )
+
+    def check(name: str, parsed_to: Column, reason: str) -> tuple[str, Column, Column, str]:
+        given = F.col(f"_raw_{name}")
+        return name, given, given.isNotNull() & parsed_to.isNull(), reason
+
+    numbers = [check(name, text.to_number(F.col(f"_raw_{name}")), rejects.NO_NUMBER) for name in ("height_cm", "width_cm")]
+    checks = [check("object_id", F.col("artwork_id"), rejects.BAD_KEY), *numbers, check("date_acquired", F.col("date_acquired"), rejects.NO_DATE)]
+    return rejects.tagged(cleaned, F.col("artwork_id").isNotNull(), F.col("_raw_object_id"), checks).drop(*raw)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from datetime import date
+from datetime import date, datetime, timezone
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,8 +15,8 @@ from starhouse import rules
 from starhouse.operators import economics, enrichment, linking, numbering, quality, rejects
 from starhouse.operators.dedup import drop_repeated
 from starhouse.plans import artists, artworks, calendar, geography, star
-from starhouse.sources import csv, json
-from starhouse.sources.tables import Written, publish_tables, read_table, write_table
+from starhouse.sources import csv, json, versions
+from starhouse.sources.tables import Written, read_rejected, read_table, write_table
 
 #: Rows left out, and values that do not fit, that stop a refresh unless it allows more. What repeats a key is only reported.
 STRICT = {rejects.NO_KEY: 0, rejects.BAD_KEY: 0, rejects.BAD_LIST_ID: 0, "rejected value": 0, "bindings nobody asked for": 0}
@@ -42,17 +42,21 @@ class Sources:
 
 
 class _Refresh:
-    """Tables are written beside the live ones, and published together once every gate has passed."""
+    """Tables are written to a set of their own, which one switch makes the current one once every gate has passed.
+
+    All load stamps have the time at which the refresh began.
+    """
 
     def __init__(self, spark: SparkSession, root: str, allowed: Mapping[str, int]) -> None:
-        self.spark, self.root, self.staged = spark, root, f"{root.rstrip('/')}/_next"
+        self.spark, self.root, self.staged = spark, root, versions.new_set(root)
+        self.at = datetime.now(timezone.utc)
         self.allowed = STRICT | dict(allowed)
         self.written: dict[str, Written] = {}
 
     def write(self, builds: Mapping[str, Callable[[], DataFrame]]) -> None:
         """Write tables that do not depend on each other at the same time."""
         with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-            jobs = {table: pool.submit(write_table, build(), self.staged, table) for table, build in builds.items()}
+            jobs = {table: pool.submit(write_table, build(), self.staged, table, self.at) for table, build in builds.items()}
             for table, job in jobs.items():
                 self.written[table] = job.result()
                 for column, n in self.written[table].rejected.items():
@@ -73,11 +77,19 @@ class _Refresh:
         raw, no_key = seen.get["raw"], seen.get["no_key"]
         self.dropped(table, {rejects.NO_KEY: no_key, rejects.REPEATED_KEY: raw - no_key - self.written[table].rows})
 
+    def quarantined(self, *tables: str) -> None:
+        """Note the rows that writes of tables left out. The rejected values are read, not the table's source once more."""
+        for table in tables:
+            whole_rows = F.col("reason").isin(rejects.BAD_KEY, rejects.BAD_LIST_ID, rejects.UNKNOWN_ARTIST)
+            counts = read_rejected(self.spark, self.staged, table).where(whole_rows).groupBy("reason").count()
+            self.dropped(table, {row["reason"]: row["count"] for row in counts.collect()})
+
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self.staged, table)
 
     def publish(self) -> None:
-        publish_tables(self.spark, self.staged, self.root, self.written)
+        versions.publish(self.spark, self.staged)
+        versions.clean(self.spark, self.root)
 
     def check(self, *tables: str) -> None:
         quality.enforce(quality.declared_gates({table: self.read(table) for table in tables}))
@@ -103,7 +115,8 @@ def run_refresh(
     """Rebuild every table under ``root`` from the landed inputs; returns what was written and left out.
 
     Layers follow each other and read the tables just written, so a lost executor costs the stage
-    it was running.  Failed gates raise and leave all tables as they were.  ``allowed`` gives other limits
+    it was running.  Failed gates raise and leave all tables as they were; a refresh that stops anywhere before its last
+    step leaves the set before it as the current one, and rejected values stay beside the tables (``read_rejected``).  ``allowed`` gives other limits
     than :data:`STRICT` for what a load may leave out, by reason.
     """
     run = _Refresh(spark, root, allowed)
@@ -138,16 +151,13 @@ def run_refresh(
     )
     run.write({
         "staging_requests": lambda: enrichment_requests(run.read("staging_artists")),
-        "transformed_artworks": lambda: artworks.transform_artworks(run.read("staging_artworks")),
-        "bridge_artwork_artist": lambda: linking.build_bridge(
+        "transformed_artworks": lambda: artworks.tagged_artworks(run.read("staging_artworks")),
+        "bridge_artwork_artist": lambda: linking.tagged_bridge(
             run.read("staging_artworks"), artists.clean_artists(run.read("staging_artists"))
         ),
         "transformed_date_economics": lambda: calendar.transform_date_economics(run.read("staging_economics")),
     })
-    counted = rejects.bad_keys(run.read("staging_artworks"), "object_id", "transformed_artworks").unionByName(
-        rejects.bad_list_ids(run.read("staging_artworks")))
-    for row in counted.collect():
-        run.dropped(row["table_name"], {row["reason"]: row["n"]})
+    run.quarantined("transformed_artworks", "bridge_artwork_artist")
     run.write({
         "staging_enrichment": lambda: enrichment.enrich_artists(run.read("staging_requests"), responses),
         "staging_responses": lambda: enrichment.raw_responses(responses),
@@ -156,12 +166,11 @@ def run_refresh(
     run.dropped("staging_enrichment", {foreign["check"]: foreign["failures"]})
     run.write({
         "transformed_artists": lambda: linking.with_artist_stats(
-            artists.transform_artists(run.read("staging_artists"), run.read("staging_enrichment")),
+            artists.transform_artists(run.read("staging_artists"), run.read("staging_enrichment"), quarantine=True),
             run.read("bridge_artwork_artist"), run.read("transformed_artworks"),
         ),
     })
-    bad_artists = rejects.bad_keys(run.read("staging_artists"), "constituent_id", "transformed_artists").first()
-    run.dropped("transformed_artists", {bad_artists["reason"]: bad_artists["n"]})
+    run.quarantined("transformed_artists")
     run.write({
         "transformed_geography": lambda: geography.transform_geography(
             run.read("staging_geography"), run.read("transformed_artists"), run.read("bridge_artwork_artist")

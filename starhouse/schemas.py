@@ -109,6 +109,9 @@ DIMENSIONAL = {
 LAYERS = {"staging": STAGING, "transformed": TRANSFORMED, "dimensional": DIMENSIONAL}
 TABLES = STAGING | TRANSFORMED | DIMENSIONAL
 
+# Tables whose writes keep rejected values beside the accepted rows.
+QUARANTINED = frozenset({"transformed_artworks", "transformed_artists", "bridge_artwork_artist"})
+
 # Columns that stamp the load itself; value comparisons leave them out.
 LOAD_STAMPS = ("loaded_at", "fetched_at", "transformed_at", "created_at")
 

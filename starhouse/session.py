@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # HotSpot never compiles a method beyond 8,000 bytes: better split code than one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Writes that part accepted rows from rejected values keep both files open instead of sorting the rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
@@ -27,6 +29,13 @@ def build_session(name: str = "starhouse", master: str | None = None, **settings
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path that all executors share: under ``spark.checkpoint.dir``, or the warehouse folder where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    """A fresh path that all executors share: under ``spark.checkpoint.dir``, or the warehouse folder where that is unset.
+
+    On a cluster, a warehouse folder on a machine's own disk is refused: the executors would each write to another one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+        if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -90,7 +90,7 @@ def test_rejects_are_counted_by_reason(spark):
         [(x, "1,2") for x in ("12", "x9", "3000000000", "7.0", None, "12", "12")] + [("13", "1, n.n.,4")], "object_id string, constituent_id string")
     assert values(rejects.landing_rejects(raw, "object_id", "t"), "reason", "n") == [("no key", 1), ("repeated key", 2)]
     assert values(rejects.bad_keys(raw, "object_id", "t"), "reason", "n") == [("bad key", 3)]
-    assert values(rejects.bad_list_ids(raw), "n") == [(1,)]
+    assert values(rejects.bad_list_ids(linking.bad_artist_ids(raw)), "n") == [(1,)]
 
 
 def test_null_keys_spread_and_match_nothing(spark):

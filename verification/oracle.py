@@ -417,6 +417,19 @@ ORACLE: dict[str, str] = {
         "\nSELECT 'staging", """, spoilt AS (SELECT k, k % 17 = 0 AND k % 11 <> 0 AND k % 13 <> 0 AS huge
             FROM (SELECT CAST(object_id AS bigint) AS k FROM s_ids) o)
         SELECT 'staging"""),
+    "rejected_rows": _sql("s_artworks s_artists listed", """
+        SELECT 'transformed_artworks' AS table_name, id AS row_key, u.column_name, u.raw_value, u.reason
+        FROM (SELECT CASE WHEN CAST(object_id AS bigint) % 13 = 0 THEN 'x' || object_id ELSE object_id END AS id, * FROM s_artworks) a,
+          LATERAL (VALUES ('object_id', CASE WHEN starts_with(id, 'x') THEN id END, 'bad key'), ('height_cm', CASE WHEN height_cm = 'n/a' THEN 'n/a' END, 'no number'),
+            ('date_acquired', CASE WHEN date_acquired = 'unknown' THEN 'unknown' END, 'no date')) u(column_name, raw_value, reason)
+        WHERE u.raw_value IS NOT NULL
+        UNION ALL SELECT 'transformed_artists', constituent_id, 'begin_date', begin_date, 'no year' FROM s_artists WHERE begin_date = 'abc'
+        UNION ALL SELECT 'bridge_artwork_artist', CAST(artwork_id AS string), 'constituent_id', IF(artwork_id % 34 = 17, ' n.n.', '999999'),
+          IF(artwork_id % 34 = 17, 'bad list id', 'unknown artist') FROM listed WHERE artist_id = 999999"""),
+    "load_stamps": _sql("economics t_artworks d_artist", """
+        SELECT 'staging_economics' AS table_name, 'loaded_at' AS column_name, count(*) AS n, CAST(1 AS bigint) AS times, '2005-01-01 00:00:00' AS stamp FROM economics
+        UNION ALL SELECT 'transformed_artworks', 'transformed_at', count(*), 1, '2005-01-01 00:00:00' FROM t_artworks
+        UNION ALL SELECT 'dim_artist', 'created_at', count(*), 1, '2005-01-01 00:00:00' FROM d_artist"""),
     "report_table_counts": _sql("calendar t_geography d_artist d_artwork fact summary", """SELECT (SELECT count(*) FROM calendar) AS date_records,
         (SELECT count(*) FROM t_geography) AS geography_records, (SELECT count(*) FROM d_artist) AS artist_records,
         (SELECT count(*) FROM d_artwork) AS artwork_records, (SELECT count(*) FROM fact) AS acquisitions,

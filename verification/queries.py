@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse import rules
+from starhouse import rules, schemas
 from starhouse.functions import classify, dates
 from starhouse.functions.text import blank_tokens
 from starhouse.operators import dedup, economics, enrichment, linking, numbering, quality, rejects
@@ -345,10 +346,40 @@ def load_rejects(w: Warehouse) -> DataFrame:
     return (
         rejects.landing_rejects(spoilt, "object_id", "staging_artworks")
         .unionByName(rejects.bad_keys(staging, "object_id", "transformed_artworks"))
-        .unionByName(rejects.bad_list_ids(w.shape("artwork_ids").withColumn("constituent_id", F.replace("constituent_id", F.lit("999999"), F.lit("n.n.")))))
+        .unionByName(rejects.bad_list_ids(linking.bad_artist_ids(
+            w.shape("artwork_ids").withColumn("constituent_id", F.replace("constituent_id", F.lit("999999"), F.lit("n.n."))))))
     )
 
 
+def rejected_rows(w: Warehouse) -> DataFrame:
+    """Every value that the writes of three tables keep out, after some keys and listed ids have been spoilt."""
+    root = scratch_path(w.spark, "quarantine")
+    number = F.col("object_id").cast("bigint")
+    works = w.shape("artworks").withColumn("object_id", F.when(number % 13 == 0, F.concat(F.lit("x"), "object_id")).otherwise(F.col("object_id")))
+    listed = w.shape("artwork_ids").withColumn("constituent_id", F.when(
+        number % 34 == 17, F.replace("constituent_id", F.lit("999999"), F.lit("n.n."))).otherwise(F.col("constituent_id")))
+    tables.write_table(artworks.tagged_artworks(works), root, "transformed_artworks")
+    tables.write_table(linking.tagged_bridge(listed, w.people), root, "bridge_artwork_artist")
+    tables.write_table(artists.transform_artists(w.shape("artists"), w.staging_enrichment, quarantine=True), root, "transformed_artists")
+    names = ("transformed_artworks", "bridge_artwork_artist", "transformed_artists")
+    found = [tables.read_rejected(w.spark, root, name) for name in names]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def load_stamps(w: Warehouse) -> DataFrame:
+    """Three tables written at one time: each stamp they have, how many rows, and how many different times."""
+    root, at = scratch_path(w.spark, "stamped"), datetime(2005, 1, 1, tzinfo=timezone.utc)
+    built = {"staging_economics": w.staging_economics, "transformed_artworks": w.transformed_artworks, "dim_artist": w.dim_artist}
+    found = []
+    for name, df in built.items():
+        tables.write_table(df, root, name, at)
+        for stamp in [x for x in schemas.LOAD_STAMPS if x in schemas.TABLES[name]]:
+            found.append(tables.read_table(w.spark, root, name).agg(
+                F.count("*").alias("n"), F.count_distinct(stamp).alias("times"), F.max(stamp).cast("string").alias("stamp")
+            ).select(F.lit(name).alias("table_name"), F.lit(stamp).alias("column_name"), "*"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def report_samples(w: Warehouse) -> DataFrame:
     return reports.sample(w.shape("artworks"), ["object_id", "title"], "title", [F.col("object_id").cast("bigint")])
 
@@ -466,6 +497,8 @@ QUERIES: dict[str, Build] = {
     "report_table_counts": report_table_counts,
     "report_transformed_counts": report_transformed_counts,
     "load_rejects": load_rejects,
+    "rejected_rows": rejected_rows,
+    "load_stamps": load_stamps,
     "report_samples": report_samples,
     "report_movement_samples": report_movement_samples,
     "report_name_samples": report_name_samples,
