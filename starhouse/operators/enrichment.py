@@ -21,25 +21,38 @@ _LISTS = {"movement": "movements", "education": "education", "influenced_by": "i
 _SCALARS = ("birth_place", "birth_place_country", "death_place", "bio_text")
 DETAIL_COLUMNS = (*_LISTS.values(), *_SCALARS)
 
-_RESPONSE_SCHEMA = (
-    "results struct<bindings: array<struct<"
-    + ", ".join(f"{variable}: struct<value: string>" for variable in ("item", *_VARIABLES))
-    + ">>>"
-)
-
-
 # JSON texts that hold nothing: a response of that kind counts as none.
 _NOTHING = r'^\s*(\{\s*\}|\[\s*\]|null|false|0|"")\s*$'
 
 
+def answer(payload: Column) -> Column:
+    """The response as a variant, parsed once; NULL if it holds nothing or is no whole JSON text: error pages, half of a text.
+
+    The parser stops at the end of a value and leaves what follows; inside brackets it has to read on.
+    """
+    inside = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
+    alone = F.try_variant_get(inside, "$[1]", "variant").isNull()
+    return F.when(~F.rlike(payload, F.lit(_NOTHING)) & alone, F.try_variant_get(inside, "$[0]", "variant"))
+
+
 def is_answer(payload: Column) -> Column:
     """Whether a response is whole JSON that holds something; error pages and truncated texts are not."""
-    return F.coalesce(F.try_parse_json(payload).isNotNull() & ~F.rlike(payload, F.lit(_NOTHING)), F.lit(False))
+    return answer(payload).isNotNull()
+
+
+def bindings_of(parsed: Column) -> Column:
+    """The bindings of a parsed response, in order: the address of the item and the label values."""
+    def value(binding: Column, variable: str) -> Column:
+        return F.try_variant_get(binding, f"$.{variable}.value", "string")
+
+    return F.transform(
+        F.try_variant_get(parsed, "$.results.bindings", "array<variant>"),
+        lambda b: F.struct(value(b, "item").alias("address"), *[value(b, variable).alias(name) for variable, name in _VARIABLES.items()]),
+    )
 
 
-def parsed_response(payload: Column) -> Column:
-    """NULL for anything that is no answer, so that no half of a truncated text is used."""
-    return F.from_json(F.when(is_answer(payload), payload), _RESPONSE_SCHEMA)
+def _entity(address: Column) -> Column:
+    return F.substring_index(address, "/", -1)
 
 
 def binding_rows(responses: DataFrame, key: str, payload: str = "payload") -> DataFrame:
@@ -47,76 +60,67 @@ def binding_rows(responses: DataFrame, key: str, payload: str = "payload") -> Da
 
     The entity id is the last part of the item's address; bindings without an item are skipped.
     """
-    exploded = responses.select(key, F.posexplode(parsed_response(F.col(payload))["results"]["bindings"]).alias("pos", "b"))
-    address = F.col("b.item.value")
-    labels = [F.col(f"b.{variable}.value").alias(name) for variable, name in _VARIABLES.items()]
-    return exploded.where(address.isNotNull()).select(
-        key, F.substring_index(address, "/", -1).alias("qid"), "pos", *labels
-    )
-
+    parsed = responses.select(key, F.posexplode(bindings_of(answer(F.col(payload)))).alias("pos", "b"))
+    return parsed.where(F.col("b.address").isNotNull()).select(key, _entity(F.col("b.address")).alias("qid"), "pos", *[f"b.{x}" for x in _VARIABLES.values()])
 
-def single_binding_rows(responses: DataFrame, qid: str = "qid", payload: str = "payload") -> DataFrame:
-    """Bindings of responses that were asked for one entity each."""
-    exploded = responses.select(
-        F.col(qid).alias("qid"), F.posexplode(parsed_response(F.col(payload))["results"]["bindings"]).alias("pos", "b")
-    )
-    labels = [F.col(f"b.{variable}.value").alias(name) for variable, name in _VARIABLES.items()]
-    return exploded.select("qid", "pos", *labels)
 
+def response_details(responses: DataFrame, key: str, payload: str = "payload", qid: str | None = None) -> DataFrame:
+    """``response, qid`` and what that response says of the entity: distinct labels in order, first scalars.
 
-def only_requested(bindings: DataFrame, requests: DataFrame) -> DataFrame:
-    """Drop bindings of entities that no request asked for.
-
-    Which request brought them does not matter: batch numbers shift when the artists do.
+    Bindings are grouped where they stand, in the array of their response. Without ``qid``, they name their entity; with
+    it, all bindings of a response are of the entity in that column.
     """
-    return bindings.join(requests.select("qid"), "qid", "left_semi")
+    parsed = responses.select(
+        F.col(key).alias("response"), *([] if qid is None else [F.col(qid).alias("qid")]), bindings_of(answer(F.col(payload))).alias("b"))
+    if qid is None:
+        ids = F.array_distinct(F.transform(F.filter("b", lambda x: x["address"].isNotNull()), lambda x: _entity(x["address"])))
+        parsed = parsed.select("response", "b", F.explode(ids).alias("qid")).withColumn(
+            "b", F.filter("b", lambda x: F.coalesce(_entity(x["address"]) == F.col("qid"), F.lit(False))))
+    else:
+        parsed = parsed.where(F.size("b") > 0)
 
+    def labels(name: str) -> Column:
+        return F.filter(F.transform("b", lambda x: x[name]), lambda x: x != "")
 
-def unrequested_bindings(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Gate: bindings of entities that no request asked for, as answers to an older export have them."""
-    asked = requests.select(F.col("wikidata_id").alias("qid"))
-    foreign = binding_rows(responses, "batch_no").join(asked, "qid", "left_anti")
-    return foreign.agg(F.count("*").alias("failures")).select(F.lit("bindings nobody asked for").alias("check"), "failures")
+    return parsed.select(
+        "response", "qid", *[F.array_distinct(labels(name)).alias(name) for name in _LISTS],
+        *[F.get(labels(name), F.lit(0)).alias(name) for name in _SCALARS])
 
 
-def collect_bindings(bindings: DataFrame) -> DataFrame:
-    """One row per ``qid``: distinct labels in response order, and first non-empty scalars.
+def merged_details(details: DataFrame) -> DataFrame:
+    """One row per ``qid``: distinct labels in the order of responses and of positions in them, and first scalars.
 
-    Labels are first reduced to their earliest position per entity, which combines before the
-    shuffle, so an entity with very many bindings arrives as its few distinct labels.
+    One shuffle by entity: an entity with very many bindings arrives as a row of distinct labels per response.
     """
     names = [*_LISTS, *_SCALARS]
-    entries = F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("label")) for name in names])
-    earliest = (
-        bindings.select("qid", "pos", F.explode(entries).alias("e"))
-        .select("qid", "pos", "e.field", F.when(F.col("e.label") != "", F.col("e.label")).alias("label"))
-        .groupBy("qid", "field", "label")
-        .agg(F.min("pos").alias("pos"))
-    )
-    entry = F.struct("pos", "label")
+    rows = details.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("response", *names))).alias("r"))
 
-    def in_order(name: str) -> Column:
-        of_field = F.when((F.col("field") == name) & F.col("label").isNotNull(), entry)
-        return F.sort_array(F.collect_list(of_field))["label"]
+    def listed(name: str) -> Column:
+        found = F.array_distinct(F.flatten(F.transform("r", lambda x: x[name])))
+        return F.when(F.size(found) > 0, found)
 
     def first(name: str) -> Column:
-        return F.min(F.when((F.col("field") == name) & F.col("label").isNotNull(), entry))["label"]
+        return F.get(F.filter(F.transform("r", lambda x: x[name]), lambda x: x.isNotNull()), F.lit(0))
 
-    collected = earliest.groupBy("qid").agg(
-        *[in_order(name).alias(column) for name, column in _LISTS.items()],
-        *[first(name).alias(name) for name in _SCALARS],
-    )
+    return rows.select(
+        "qid", listed("movement").alias("movements"), F.array_join(listed("education"), ", ").alias("education"),
+        listed("influenced_by").alias("influenced_by"),
+        *[first(name).alias(name) for name in _SCALARS])
 
-    def filled(column: str) -> Column:
-        return F.when(F.size(column) > 0, F.col(column))
 
-    return collected.select(
-        "qid",
-        filled("movements").alias("movements"),
-        F.array_join(filled("education"), ", ").alias("education"),
-        filled("influenced_by").alias("influenced_by"),
-        *_SCALARS,
-    )
+def only_requested(bindings: DataFrame, requests: DataFrame) -> DataFrame:
+    """Drop bindings of entities that no request asked for.
+
+    Which request brought them does not matter: batch numbers shift when the artists do.
+    """
+    return bindings.join(requests.select("qid"), "qid", "left_semi")
+
+
+def unrequested_bindings(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """Gate: bindings of entities that no request asked for, as answers to an older export have them."""
+    asked = requests.select(F.col("wikidata_id").alias("qid"))
+    foreign = binding_rows(responses, "batch_no").join(asked, "qid", "left_anti")
+    return foreign.agg(F.count("*").alias("failures")).select(F.lit("bindings nobody asked for").alias("check"), "failures")
 
 
 def fetch_status(responded: Column) -> Column:
@@ -137,7 +141,7 @@ def enrich_artists(requests: DataFrame, responses: DataFrame) -> DataFrame:
     batch, see :func:`raw_responses`; an artist has the number of its batch.
     """
     asked = requests.select("artist_name", F.col("wikidata_id").alias("qid"), "batch_no")
-    found = collect_bindings(only_requested(binding_rows(responses, "batch_no"), asked)).withColumn("_bound", F.lit(True))
+    found = merged_details(only_requested(response_details(responses, "batch_no"), asked)).withColumn("_bound", F.lit(True))
     answered = responses.where(is_answer(F.col("payload"))).select("batch_no", F.lit(True).alias("_answered")).distinct()
     responded = F.col("_bound").isNotNull() | F.col("_answered").isNotNull()
     return (
@@ -151,18 +155,19 @@ def enrich_artists(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def raw_responses(responses: DataFrame) -> DataFrame:
-    """The landed text of every answered batch, once."""
-    return responses.where(is_answer(F.col("payload"))).select("batch_no", F.col("payload").alias("api_response_json"))
+    """The landed text of every answered batch, once: of several answers to one batch, the first in the order of their texts."""
+    answers = responses.where(is_answer(F.col("payload")))
+    return answers.groupBy("batch_no").agg(F.min("payload").alias("api_response_json"))
 
 
 def enrich_artists_singly(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Variant with one response per entity: any binding at all counts as success.
 
-    ``responses``: qid, payload.
+    ``responses``: qid, payload. Of several answers of one entity the first in the order of their texts counts.
     """
     asked = requests.select("artist_name", F.col("wikidata_id").alias("qid"))
-    details = collect_bindings(single_binding_rows(responses)).withColumn("_bound", F.lit(True))
-    answered = responses.where(is_answer(F.col("payload"))).select("qid", "payload")
+    answered = responses.where(is_answer(F.col("payload"))).groupBy("qid").agg(F.min("payload").alias("payload"))
+    details = merged_details(response_details(answered, "qid", qid="qid")).withColumn("_bound", F.lit(True))
     bound = F.col("_bound").isNotNull()
     return (
         asked.join(details, "qid", "left")

@@ -28,8 +28,8 @@ class Sources:
 
     ``responses`` holds one JSON file per enrichment request, named by its batch number.  Artists are found in
     whatever batch has them, but only those of the same export are all asked for (see :func:`enrichment_requests`).
-    ``artwork_columns`` names the header of one big artworks file, which is then read by many tasks; without it, a
-    file is one task.
+    ``artwork_columns`` and ``artist_columns`` name the header of one big file of that kind, which is then read by many
+    tasks; without it, a file is one task.
     ``series`` holds one file per economic series, named as in :data:`starhouse.rules.SERIES_COLUMNS`.
     """
 
@@ -39,6 +39,7 @@ class Sources:
     series: str
     responses: str
     artwork_columns: tuple[str, ...] | None = None
+    artist_columns: tuple[str, ...] | None = None
 
 
 class _Refresh:
@@ -122,15 +123,13 @@ def run_refresh(
     run = _Refresh(spark, root, allowed)
     seen_artworks, seen_artists = Observation(), Observation()
 
-    def landed_artworks() -> DataFrame:
-        if sources.artwork_columns is None:
-            return csv.land_artworks(spark, sources.artworks, seen_artworks)
-        raw = csv.read_big_csv_text(spark, sources.artworks, sources.artwork_columns)
-        return csv.land(raw, rules.ARTWORK_HEADERS, "object_id", observation=seen_artworks)
+    def landed(path: str, columns: tuple[str, ...] | None, headers: Mapping[str, str], key: str, seen: Observation) -> DataFrame:
+        raw = csv.read_csv_text(spark, path) if columns is None else csv.read_big_csv_text(spark, path, columns)
+        return csv.land(raw, headers, key, observation=seen)
 
     run.write({
-        "staging_artworks": landed_artworks,
-        "staging_artists": lambda: csv.land_artists(spark, sources.artists, seen_artists),
+        "staging_artworks": lambda: landed(sources.artworks, sources.artwork_columns, rules.ARTWORK_HEADERS, "object_id", seen_artworks),
+        "staging_artists": lambda: landed(sources.artists, sources.artist_columns, rules.ARTIST_HEADERS, "constituent_id", seen_artists),
         "staging_geography": lambda: json.geography_reference(
             json.flatten_countries(json.read_documents(spark, sources.countries, "name"))
         ),

@@ -12,6 +12,8 @@ from starhouse.functions.text import blank_tokens
 from starhouse.operators.dedup import keep_first
 
 LANDING_ORDER = "_landing_order"
+_FIELD = '(?:"[^"]*+"|[^",]*+)'
+_WHOLE_FIELDS = f"^\ufeff?{_FIELD}(?:,{_FIELD})*+$"
 
 
 def _landing_order() -> F.Column:
@@ -43,7 +45,9 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
     number of quotes before it in the file, so: count quotes per block, sum them up block by block
     (one row per block), then number the records inside each block.  Only the lines of a record are
     gathered, and a record is parsed from its own text.  Every quote character must belong to a
-    quoted field, as standard writers ensure; a file that ends inside a quote stops the job.  The first
+    quoted field, as standard writers ensure: a record where one stands elsewhere, as an inch mark in plain
+    text does, stops the job with its file and text, and so does a file that ends inside a quote.  What is
+    returned is what :func:`read_csv_text` returns.  The first
     line of every file is its header and must name the columns in their order, else the job stops too.
     """
     names = list(columns)
@@ -94,8 +98,11 @@ def read_big_csv_text(spark: SparkSession, path: str, columns: Iterable[str]) ->
     too_many = F.size(F.split("text", ",")) != F.lit(len(names))
     other = F.raise_error(F.concat(F.lit("other columns than asked for in "), F.col("file"))).cast("boolean")
     is_row = F.when(is_header, F.when(F.coalesce(as_named, F.lit(False)) & ~too_many, F.lit(False)).otherwise(other)).otherwise(F.col("text") != "")
+    stray = F.raise_error(F.concat(F.lit("a quote inside an unquoted field in "), F.col("file"), F.lit(": "), F.substring("text", 1, 200))).cast("boolean")
+    # Doubled quotes taken away, quotes are left around whole fields only.
+    whole = ~F.col("text").contains('"') | F.rlike(F.replace("text", F.lit('""'), F.lit("")), F.lit(_WHOLE_FIELDS))
     return (
-        records.where(is_row)
+        records.where(F.when(whole, is_row).otherwise(stray))
         .select(
             F.from_csv("text", schema, options).alias("c"), "source_file",
             F.struct("file", F.col("owner.b").alias("block"), "row").alias(LANDING_ORDER),

@@ -146,28 +146,46 @@ def test_enrichment_collects_in_response_order(spark):
 
 
 def test_entity_with_a_third_of_all_bindings(spark):
-    """Copies of a label combine before the shuffle; order of first appearance stays."""
-    label = F.concat(F.lit("m"), ((F.col("pos") * 7) % 11).cast("string"))
-    hot = spark.range(15_000).select(F.lit("Q0").alias("qid"), F.col("id").cast("int").alias("pos"))
-    cold = spark.range(30_000).select(F.concat(F.lit("Q"), F.col("id") + 1).alias("qid"), F.lit(0).alias("pos"))
-    empty = {name: F.lit(None).cast("string") for name in ("education", "influenced_by", "birth_place_country", "death_place", "bio_text")}
-    bindings = hot.union(cold).withColumns({"movement": label, "birth_place": F.concat(F.lit("b"), "pos")} | empty).repartition(8)
-    collected = enrichment.collect_bindings(bindings)
-    assert collected.count() == 30_001
+    """Labels combine inside their response; order is that of responses, then of positions."""
+    hot = [binding("Q0", movementLabel=f"m{pos * 7 % 11}", birthPlaceLabel=f"b{pos}") for pos in range(40)]
+    rows = [(n, payload(*hot[n % 5:], *[binding(f"Q{10 * n + k}", movementLabel="x") for k in range(1, 9)])) for n in range(300)]
+    collected = enrichment.merged_details(enrichment.response_details(spark.createDataFrame(rows, "batch_no bigint, payload string").repartition(8), "batch_no"))
+    assert collected.count() == 2401
     row = collected.where("qid = 'Q0'").first()
     assert row["movements"] == [f"m{pos * 7 % 11}" for pos in range(11)] and row["birth_place"] == "b0"
     assert row["education"] is None and row["influenced_by"] is None
 
 
+def test_an_entity_in_two_responses_keeps_the_order_of_arrival(spark):
+    rows = [(2, payload(binding("Q1", movementLabel="Cubism", bioDescription="later"), binding("Q1", movementLabel="Dada"))),
+            (1, payload(binding("Q1", movementLabel="Fauvism"), binding("Q1", movementLabel="Cubism", birthPlaceLabel="Town")))]
+    row = enrichment.merged_details(enrichment.response_details(spark.createDataFrame(rows, "batch_no bigint, payload string"), "batch_no")).first()
+    assert row["movements"] == ["Fauvism", "Cubism", "Dada"] and (row["birth_place"], row["bio_text"]) == ("Town", "later")
+
+
+def test_a_response_is_parsed_once(spark):
+    responses = spark.createDataFrame([(1, payload(binding("Q1", movementLabel="a")))], "batch_no bigint, payload string")
+    plan = enrichment.merged_details(enrichment.response_details(responses, "batch_no"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 0 and plan.count("Aggregate") == 1
+
+
+def test_odd_bindings_do_not_spoil_the_others(spark):
+    texts = ['{"results": {"bindings": [7, null, {"item": 5}, {"item": {"value": "http://x/Q1"}, "movementLabel": {"value": 3}}]}}', '{"results": {"bindings": {}}}', '{"a": 1}}']
+    found = enrichment.response_details(spark.createDataFrame(list(enumerate(texts)), "batch_no bigint, payload string"), "batch_no")
+    assert [(row["response"], row["qid"], row["movement"]) for row in found.collect()] == [(0, "Q1", ["3"])]
+
+
 def test_single_response_variant(spark):
     many = [binding("Q1", movementLabel=f"m{n:02}") for n in range(25)]
     responses = spark.createDataFrame(
-        [("Q1", payload(*many)), ("Q2", payload(binding("Q2", deathPlaceLabel="Grave"))), ("Q3", payload()), ("Q4", None)],
+        [("Q1", payload(*many)), ("Q2", payload(binding("Q2", deathPlaceLabel="Grave"))), ("Q3", payload()), ("Q4", None),
+         ("Q1", payload(*many)), ("Q1", payload(*many) + " "), ("Q2", "<html>"), ("Q4", "{")],  # several responses of one entity
         "qid string, payload string",
     )
     requests = spark.createDataFrame([(q, q) for q in ("Q1", "Q2", "Q3", "Q4")], "artist_name string, wikidata_id string")
-    rows = {row["wikidata_id"]: row for row in enrichment.enrich_artists_singly(requests, responses).collect()}
-    assert rows["Q1"]["movements"] == [f"m{n:02}" for n in range(25)]
+    found = enrichment.enrich_artists_singly(requests, responses).collect()
+    rows = {row["wikidata_id"]: row for row in found}
+    assert len(found) == 4 and rows["Q1"]["movements"] == [f"m{n:02}" for n in range(25)]
     assert [rows[q]["fetch_status"] for q in ("Q1", "Q2", "Q3", "Q4")] == ["success", "success", "no_data", "failed"]
 
 

@@ -159,7 +159,8 @@ def test_big_file_reader_and_stale_answers(spark, sources, built, tmp_path):
     responses.mkdir()
     bindings = [{"item": {"value": f"http://x/{q}"}, "movementLabel": {"value": "Dada"}} for q in ("Q1", "Q9")]
     (responses / "77.json").write_text(json.dumps({"results": {"bindings": bindings}}))
-    other = replace(sources, responses=str(responses), artwork_columns=tuple(ARTWORKS.split("\n")[0].split(",")))
+    other = replace(sources, responses=str(responses), artwork_columns=tuple(ARTWORKS.split("\n")[0].split(",")),
+                    artist_columns=tuple(ARTISTS.split("\n")[0].split(",")))
     minimums = {"bridge_artwork_artist": 1}
     with pytest.raises(QualityError, match="nobody asked for: 1"):
         run_refresh(spark, other, str(tmp_path / "w"), date(2024, 1, 1), minimums)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from conftest import values
@@ -76,6 +77,8 @@ def test_split_reading_equals_whole_reading(spark, tmp_path, newline, block):
 @pytest.mark.parametrize(("text", "message"), [
     ("Title,ObjectID\nBoat,1\n", "other columns"), ("ObjectID,Title,Medium\n1,Boat,ink\n", "other columns"),
     ('ObjectID,Title\n1,"Boat\n2,Tree\n', "does not end"), ("ObjectID\n1\n", "other columns"),
+    ('ObjectID,Title\n1,8 1/2" print\n2,a\n3,b\n4,9" frame\n5,c\n', "unquoted field"), ('ObjectID,Title\n1,"a" b\n', "unquoted field"),
+    ('ObjectID,Title\n1, "a"\n', "unquoted field"), ('ObjectID,Title\n1,"a\n2,b\n3,"c\n', "unquoted field"),
 ])
 def test_split_reading_refuses_other_headers_and_open_quotes(spark, tmp_path, text, message):
     (tmp_path / "a.csv").write_text(text)
@@ -83,6 +86,34 @@ def test_split_reading_refuses_other_headers_and_open_quotes(spark, tmp_path, te
         csv_source.read_big_csv_text(spark, str(tmp_path), ["ObjectID", "Title"]).collect()
 
 
+def test_split_reading_equals_whole_reading_or_stops(spark, tmp_path):
+    """Random files of all kinds of fields: either both readers agree, or the splitting one stops and says why."""
+    rng = random.Random(12)
+    fields = ["", "a", '""', '"a"', '"a,b"', '"x ""y"" z"', '"two\nlines"', '"\n"', 'in""side', '""""', " ", '" "']
+    stray = ['8" x', '"a" b', ' "a"', 'x"y"', '"open']
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    stopped = 0
+    try:
+        for n in range(24):
+            rows = [[str(k), rng.choice(fields), rng.choice(fields)] for k in range(40)]
+            if n % 3 == 0:
+                for k in rng.sample(range(40), 2):
+                    rows[k][rng.choice([1, 2])] = rng.choice(stray)
+            path = tmp_path / f"{n}.csv"
+            path.write_text("ObjectID,Title,Medium\n" + "\n".join(map(",".join, rows)) + "\n")
+            try:
+                split = values(csv_source.read_big_csv_text(spark, str(path), ["ObjectID", "Title", "Medium"]), "ObjectID", "Title", "Medium")
+            except Exception as error:
+                assert n % 3 == 0 and ("unquoted field" in str(error) or "does not end" in str(error))
+                stopped += 1
+            else:
+                assert split == values(csv_source.read_csv_text(spark, str(path)), "ObjectID", "Title", "Medium"), path.read_text()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert stopped >= 6
+
+
 COUNTRIES = [
     {"name": {"common": " France "}, "cca2": "FR", "cca3": "FRA", "region": "Europe", "subregion": "Western Europe",
      "continents": ["Europe", "Other"], "latlng": [46.0, 2.0]},

@@ -346,7 +346,12 @@ ORACLE: dict[str, str] = {
     "enrich_left_join": _sql("s_artists enriched", """SELECT constituent_id, wikidata_id, wikidata_id IS NOT NULL AS has_wikidata_enrichment,
         movements AS art_movements, education FROM s_artists a
         LEFT JOIN (SELECT * FROM enriched WHERE fetch_status = 'success') e ON a.wiki_qid = e.wikidata_id"""),
-    "bindings_collect": _sql("collected", "SELECT * FROM collected"),
+    "bindings_collect": _sql("s_bindings", f"""SELECT * FROM (
+        WITH arrived AS (SELECT * REPLACE (pos % 2 * 10 + pos AS pos) FROM s_bindings) {_collected('arrived')}) c"""),
+    "raw_responses": _sql("s_bindings", """SELECT batch_no, text AS api_response_json, md5(text) AS digest
+        FROM (SELECT batch_no, if(batch_no % 3 = 0, ' ', '') || '{"n": ' || count(*) || '}' AS text
+              FROM (SELECT CAST(substr(qid, 2) AS int) % 11 AS batch_no FROM s_bindings) b GROUP BY batch_no) t
+        WHERE batch_no % 4 NOT IN (1, 2)"""),
     "enrichment_table": _sql("enriched", "SELECT * FROM enriched"),
     "year_spine_join": _sql("spine", """SELECT *, CAST(NULL AS double) AS unemployment_rate_percent, CAST(NULL AS double) AS sp500_close FROM spine"""),
     "annual_resample": _sql("s_monthly", "SELECT 'CPI' AS series, year, round(avg(value), 2) AS value FROM s_monthly WHERE month <> 6 GROUP BY year"),

@@ -179,6 +179,9 @@ def fetch_status_single(w: Warehouse) -> DataFrame:
         .when(number % 7 == 3, "{}").otherwise(F.col("payload"))
     )
     responses = bindings_payload(bindings, "qid").withColumn("payload", arrived)
+    # Some landed twice, once with white space around the text, and some first broken and then whole.
+    again = responses.where(number % 3 == 0).withColumn("payload", F.concat("payload", F.lit(" ")))
+    responses = responses.unionByName(again).unionByName(responses.where(number % 3 == 1).withColumn("payload", F.lit("<html>504</html>")))
     return presentable(enrichment.enrich_artists_singly(requests, responses).drop("api_response_json"))
 
 
@@ -194,8 +197,25 @@ def enrich_left_join(w: Warehouse) -> DataFrame:
     return presentable(joined.select("constituent_id", "wikidata_id", "has_wikidata_enrichment", "art_movements", "education"))
 
 
+def _split_responses(w: Warehouse) -> DataFrame:
+    """Bindings of every entity in two responses: those at even places in an earlier one, the others in a later one."""
+    number = F.substring("qid", 2, 20).cast("int")
+    return bindings_payload(w.shape("bindings").withColumn("batch_no", F.pmod(number, F.lit(7)) + 100 * (F.col("pos") % 2)), "batch_no")
+
+
 def bindings_collect(w: Warehouse) -> DataFrame:
-    return presentable(enrichment.collect_bindings(w.shape("bindings")))
+    return presentable(enrichment.merged_details(enrichment.response_details(_split_responses(w), "batch_no")))
+
+
+def raw_responses(w: Warehouse) -> DataFrame:
+    """The kept texts of answered batches, some of which came twice and some not at all, by their digest."""
+    number = F.col("batch_no")
+    texts = w.shape("bindings").groupBy((F.substring("qid", 2, 20).cast("int") % 11).alias("batch_no")).agg(
+        F.concat(F.lit('{"n": '), F.count("*").cast("string"), F.lit("}")).alias("payload"))
+    broken = F.when(number % 4 == 1, F.concat(F.col("payload"), F.lit("}"))).when(number % 4 == 2, F.lit(" {} ")).otherwise(F.col("payload"))
+    landed = texts.withColumn("payload", broken)
+    kept = enrichment.raw_responses(landed.unionByName(landed.where(number % 3 == 0).withColumn("payload", F.concat(F.lit(" "), "payload"))))
+    return kept.select("batch_no", "api_response_json", F.md5("api_response_json").alias("digest"))
 
 
 def enrichment_table(w: Warehouse) -> DataFrame:
@@ -457,6 +477,7 @@ QUERIES: dict[str, Build] = {
     "request_batches": request_batches,
     "enrich_left_join": enrich_left_join,
     "bindings_collect": bindings_collect,
+    "raw_responses": raw_responses,
     "enrichment_table": enrichment_table,
     "year_spine_join": year_spine_join,
     "annual_resample": annual_resample,
