@@ -53,6 +53,25 @@ def percent_change(value: Column, by_year: Window) -> Column:
     return (F.try_divide(filled, before) - 1) * 100
 
 
+def densified(annual: DataFrame) -> DataFrame:
+    """``series, year, value`` with every year from a series' first to its last; a year without a value has NULL.
+
+    Each series has its own years, however many series there are: a sequence per series, met by its values.
+    """
+    spans = annual.groupBy("series").agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    years = spans.select("series", F.explode(F.sequence("first", "last")).alias("year"))
+    return years.join(annual.select("series", "year", "value"), ["series", "year"], "left")
+
+
+def series_change(annual: DataFrame) -> DataFrame:
+    """``series, year, value, change_percent``: every year of every series and its change against the year before.
+
+    Gaps are filled forward, as in :func:`percent_change`; the window is that of one series.
+    """
+    by_year = Window.partitionBy("series").orderBy("year")
+    return densified(annual).withColumn("change_percent", percent_change(F.col("value"), by_year))
+
+
 def economics_table(
     spark: SparkSession, annual: DataFrame, first: int = rules.YEAR_SPINE[0], last: int = rules.YEAR_SPINE[1]
 ) -> DataFrame:

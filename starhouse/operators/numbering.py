@@ -50,6 +50,37 @@ def with_request_batch(df: DataFrame, key: str, size: int = rules.REQUEST_BATCH_
     return numbered.withColumn("batch_no", F.floor((F.col("row_no") - 1) / size)).drop("row_no")
 
 
+#: Batches whose free places are numbered in one task.
+_BATCHES = 4096
+
+
+def sticky_batches(df: DataFrame, key: str, before: DataFrame, size: int = rules.REQUEST_BATCH_SIZE) -> DataFrame:
+    """Add ``batch_no`` so that what was asked for under a number stays there.
+
+    ``before`` has ``key`` and ``batch_no`` of the last requests. Keys of both keep their number; new ones, in the order
+    of :func:`numbered_by_digest`, fill the places that gone keys left free, lowest batch first, and then new batches.
+    Keys are unique in both tables.
+    """
+    held = before.select(F.col(key).alias("_old"), F.col("batch_no").cast("bigint").alias("_batch"))
+    met = df.join(held, F.col(key) == F.col("_old"), "left")
+    kept = met.where(F.col("_batch").isNotNull()).withColumnRenamed("_batch", "batch_no").drop("_old")
+    new = numbered_by_digest(met.where(F.col("_batch").isNull()).drop("_old", "_batch"), key, "_no")
+    # Places are numbered by groups of batches, as ids are by digest: no task sees all batches.
+    taken = kept.groupBy("batch_no").agg(F.count("*").alias("n"))
+    batches = before.select(F.col("batch_no").cast("bigint").alias("batch_no")).distinct().join(taken, "batch_no", "left")
+    free = batches.withColumn("_free", F.greatest(F.lit(size) - F.coalesce("n", F.lit(0)), F.lit(0))).withColumn(
+        "_group", F.floor(F.col("batch_no") / _BATCHES))
+    earlier = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = free.groupBy("_group").agg(F.sum("_free").alias("_all")).select("_group", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.coalesce(F.sum("_free").over(Window.partitionBy("_group").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = free.withColumn("_inside", inside).join(offsets, "_group").where("_free > 0").select(
+        "batch_no", F.explode(F.expr("sequence(_offset + _inside + 1, _offset + _inside + _free)")).alias("_place"))
+    totals = free.agg(F.coalesce(F.sum("_free"), F.lit(0)).alias("free"), F.coalesce(F.max("batch_no"), F.lit(-1)).alias("last")).first()
+    beyond = F.lit(totals["last"] + 1) + F.floor((F.col("_no") - totals["free"] - 1) / size)
+    placed = new.join(places, F.col("_no") == F.col("_place"), "left").withColumn("batch_no", F.coalesce("batch_no", beyond)).drop("_no", "_place")
+    return kept.unionByName(placed)
+
+
 def request_batches(df: DataFrame, key: str, size: int = rules.REQUEST_BATCH_SIZE) -> DataFrame:
     """One row per request: its number, its size and its text of prefixed ids."""
     batched = with_request_batch(df.select(key), key, size)

@@ -183,15 +183,13 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                   subregion, latitude, longitude, {_text(rules.COUNTRY_SOURCE)} AS source, 0 AS custom, listed FROM s_countries
                 UNION ALL SELECT 'Nationality unknown', 'XX', 'XXX', 'Unknown', 'Unknown', 'Unknown', NULL, NULL,
                   'Custom mapping', 1, 0) u) k WHERE rn = 1"""),
-    "t_geography": (("geo_reference", "t_artists", "bridge", "t_artworks"), """
-        SELECT g.nationality, country_name, country_code_iso2, country_code_iso3, continent, region,
-          subregion, latitude, longitude, CAST(coalesce(a.n, 0) AS int) AS total_artists, CAST(coalesce(w.n, 0) AS int) AS total_artworks
-        FROM geo_reference g
-        LEFT JOIN (SELECT lower(trim(nationality)) AS nationality, count(DISTINCT artist_id) AS n FROM t_artists
-                   WHERE nationality IS NOT NULL GROUP BY 1) a ON a.nationality = g.nationality
-        LEFT JOIN (SELECT lower(trim(t.nationality)) AS nationality, count(DISTINCT x.artwork_id) AS n FROM t_artists t
-                   JOIN bridge b ON t.artist_id = b.artist_id JOIN t_artworks x ON b.artwork_id = x.artwork_id
-                   WHERE t.nationality IS NOT NULL GROUP BY 1) w ON w.nationality = g.nationality"""),
+    "t_geography": (("geo_reference", "t_artists", "bridge"), """
+        SELECT nationality, country_name, country_code_iso2, country_code_iso3, continent, region, subregion, latitude, longitude,
+          CAST(coalesce(people[nationality], 0) AS int) AS total_artists, CAST(coalesce(works[nationality], 0) AS int) AS total_artworks
+        FROM geo_reference,
+          (SELECT histogram(home) AS people FROM (SELECT lower(trim(nationality)) AS home FROM t_artists)),
+          (SELECT histogram(home) AS works FROM (
+             SELECT DISTINCT artwork_id, (SELECT lower(trim(p.nationality)) FROM t_artists p WHERE p.artist_id = bridge.artist_id) AS home FROM bridge))"""),
     "spine": (("s_series",), f"""
         SELECT y.year, CAST(gdp AS double) AS gdp_usd_billions, cpi
         FROM (SELECT CAST(unnest(range({SPINE[0]}, {SPINE[1] + 1})) AS int) AS year) y LEFT JOIN s_series s ON y.year = s.year"""),
@@ -259,6 +257,8 @@ def _needed(names: tuple[str, ...], found: dict[str, None]) -> dict[str, None]:
 def _sql(names: str, select: str) -> str:
     """``select`` with the tables it reads, and the ones those read, in front."""
     ctes = ",\n".join(f"{name} AS ({_TABLES[name][1]})" for name in _needed(tuple(names.split()), {}))
+    if select.lstrip().startswith("WITH"):
+        select = f"FROM ({select})"
     return f"WITH {ctes}\n{select}" if ctes else select
 
 
@@ -468,10 +468,14 @@ ORACLE: dict[str, str] = {
         WHERE total_artists > 0 ORDER BY total_artists DESC, nationality LIMIT 10"""),
     "report_quality_tiers": _tiers("t_artists"),
     "report_artwork_tiers": _tiers("t_artworks"),
-    "report_collaborations": _sql("bridge", """SELECT artwork_id, count(artist_id) AS artist_count FROM bridge GROUP BY 1
-        HAVING count(artist_id) > 1 ORDER BY artist_count DESC, artwork_id LIMIT 10"""),
-    "report_prolific": _sql("a_stats", """SELECT display_name, total_artworks_in_collection, first_acquisition_year, last_acquisition_year
-        FROM a_stats WHERE total_artworks_in_collection > 0 ORDER BY total_artworks_in_collection DESC, artist_id LIMIT 10"""),
+    "report_collaborations": _sql("bridge", """FROM (SELECT artwork_id, CAST(len(list(artist_id)) AS bigint) AS artist_count FROM bridge GROUP BY ALL)
+        WHERE artist_count >= 2 QUALIFY row_number() OVER (ORDER BY artist_count DESC, artwork_id) <= 10"""),
+    "report_prolific": _sql("bridge t_artworks t_artists", """
+        WITH per_artist AS (SELECT artist_id, list(acquisition_year) AS years FROM bridge JOIN t_artworks USING (artwork_id) GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY len(years) DESC, artist_id) AS place FROM per_artist)
+        SELECT (SELECT display_name FROM t_artists p WHERE p.artist_id = ranked.artist_id) AS display_name,
+          CAST(len(years) AS int) AS total_artworks_in_collection, list_min(years) AS first_acquisition_year, list_max(years) AS last_acquisition_year
+        FROM ranked WHERE place <= 10"""),
     "report_pct_of_total": _shares("t_artworks", "classification", 1, "LIMIT 10"),
     "report_gender_shares": _shares("t_artists", "gender_clean"),
     "report_enrichment_shares": _shares("t_artists", "has_wikidata_enrichment"),
@@ -486,12 +490,47 @@ ORACLE: dict[str, str] = {
         WHERE economic_period = 'Recession' ORDER BY year DESC LIMIT 10"""),
     "report_chosen_years": _sql("economics", """SELECT year, gdp_usd_billions, inflation_rate_percent, economic_period FROM economics
         WHERE year IN (1994, 1996, 1998, 2000)"""),
-    "report_artist_movements": _sql("d_artist t_geography summary", """SELECT a.display_name, g.country_name, a.art_movements, s.total_artworks
-        FROM d_artist a LEFT JOIN t_geography g ON a.nationality = g.nationality LEFT JOIN summary s ON a.artist_id = s.artist_id
-        WHERE s.total_artworks > 20 ORDER BY s.total_artworks DESC, a.artist_id LIMIT 10"""),
-    "analytics_top_artists": _sql("fact d_artist t_geography", """SELECT a.display_name, g.country_name, count(*) AS artworks
-        FROM fact f JOIN d_artist a ON f.artist_id = a.artist_id JOIN t_geography g ON a.nationality = g.nationality
-        GROUP BY 1, 2 ORDER BY artworks DESC, a.display_name, g.country_name LIMIT 10"""),
-    "analytics_recession_acquisitions": _sql("fact calendar", """SELECT c.year, c.economic_period, count(*) AS acquisitions
-        FROM fact f JOIN calendar c ON f.acquisition_date_key = c.date_key WHERE c.economic_period = 'Recession' GROUP BY 1, 2"""),
+    "report_artist_movements": _sql("d_artist t_geography summary", """
+        WITH large AS (FROM summary WHERE total_artworks > 20 QUALIFY row_number() OVER (ORDER BY total_artworks DESC, artist_id) <= 10),
+        countries AS (SELECT map_from_entries(list((nationality, country_name))) AS of FROM t_geography)
+        SELECT display_name, of[p.nationality] AS country_name, art_movements, large.total_artworks
+        FROM countries, large JOIN d_artist p USING (artist_id)"""),
+    "analytics_top_artists": _sql("fact d_artist t_geography", """
+        WITH works AS (SELECT histogram(artist_id) AS of FROM fact),
+        placed AS (
+          SELECT display_name, country_name, of[artist_id] AS n FROM works, d_artist JOIN t_geography USING (nationality) WHERE of[artist_id] IS NOT NULL)
+        FROM (SELECT display_name, country_name, CAST(sum(n) AS bigint) AS artworks FROM placed GROUP BY ALL)
+        QUALIFY row_number() OVER (ORDER BY artworks DESC, display_name, country_name) <= 10"""),
+    "analytics_recession_acquisitions": _sql("fact calendar", """
+        SELECT CAST(acquisition_date_key // 10000 AS int) AS year, 'Recession' AS economic_period, count(*) AS acquisitions FROM fact
+        WHERE acquisition_date_key IN (SELECT date_key FROM calendar WHERE economic_period = 'Recession') GROUP BY acquisition_date_key"""),
+    "sticky_batches": _sql("requested", """
+        WITH ids AS (SELECT wiki_qid AS wikidata_id, CAST(substr(wiki_qid, 2) AS int) AS k FROM requested),
+        before AS (SELECT wikidata_id, (row_number() OVER (ORDER BY md5(wikidata_id), wikidata_id) - 1) // 5 AS batch_no FROM ids WHERE k % 7 <> 3),
+        kept AS (SELECT wikidata_id, batch_no FROM ids JOIN before USING (wikidata_id) WHERE k % 11 <> 4),
+        gaps AS (
+          SELECT batch_no, row_number() OVER (ORDER BY batch_no) AS place
+          FROM (SELECT b.batch_no, unnest(range(5 - count(kept.batch_no))) FROM (SELECT DISTINCT batch_no FROM before) b LEFT JOIN kept USING (batch_no) GROUP BY b.batch_no)),
+        fresh AS (
+          SELECT wikidata_id, row_number() OVER (ORDER BY md5(wikidata_id), wikidata_id) AS place FROM ids
+          WHERE k % 11 <> 4 AND wikidata_id NOT IN (SELECT wikidata_id FROM before))
+        SELECT wikidata_id, batch_no FROM kept
+        UNION ALL SELECT wikidata_id, coalesce(g.batch_no, (SELECT max(batch_no) + 1 FROM before) + (f.place - 1 - (SELECT count(*) FROM gaps)) // 5)
+        FROM fresh f LEFT JOIN gaps g USING (place)"""),
+    "series_change": """
+        WITH sums AS (
+          SELECT 'N' || c_nationkey AS series, CAST(year(o_orderdate) AS int) AS year, CAST(sum(CAST(o_totalprice AS decimal(18,2))) AS double) AS value
+          FROM orders JOIN customer ON o_custkey = c_custkey WHERE (year(o_orderdate) + c_nationkey) % 5 <> 0 GROUP BY c_nationkey, year(o_orderdate)),
+        every AS (SELECT series, CAST(unnest(range(min(year), max(year) + 1)) AS int) AS year FROM sums GROUP BY series),
+        filled AS (
+          SELECT series, year, value, last_value(value IGNORE NULLS) OVER (PARTITION BY series ORDER BY year) AS f FROM every LEFT JOIN sums USING (series, year))
+        SELECT series, year, value, round((f / lag(f) OVER (PARTITION BY series ORDER BY year) - 1) * 100, 4) AS change_percent FROM filled""",
+    "year_ranges": _sql("t_artworks", """
+        SELECT artwork_id, department, creation_year, EXISTS (
+          SELECT 1 FROM supplier WHERE ['Drawings', 'Prints', 'Film'][CAST(s_suppkey % 3 + 1 AS int)] = department
+            AND creation_year BETWEEN 1900 + s_suppkey * 37 % 100 AND 1900 + s_suppkey * 37 % 100 + s_nationkey % 4 - 1) AS in_range
+        FROM t_artworks"""),
+    "stats_partitions": _sql("bridge t_artworks", """
+        SELECT artist_id, CAST(count(*) AS int) AS total_artworks_in_collection, min(acquisition_year) AS first_acquisition_year,
+          max(acquisition_year) AS last_acquisition_year FROM bridge JOIN t_artworks USING (artwork_id) GROUP BY artist_id"""),
 }

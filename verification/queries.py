@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from starhouse import rules, schemas
 from starhouse.functions import classify, dates
 from starhouse.functions.text import blank_tokens
-from starhouse.operators import dedup, economics, enrichment, linking, numbering, quality, rejects
+from starhouse.operators import dedup, economics, enrichment, intervals, linking, numbering, quality, rejects
 from starhouse.plans import artists, artworks, reports, star
 from starhouse.session import scratch_path
 from starhouse.sources import csv as csv_source
 from starhouse.sources import json as json_source
-from starhouse.sources import tables
+from starhouse.sources import partitions, tables
 from verification import shapes
 from verification.warehouse import Warehouse, bindings_payload, presentable
 
@@ -189,6 +189,13 @@ def request_batches(w: Warehouse) -> DataFrame:
     return numbering.request_batches(w.requested, "wikidata_id", 5)
 
 
+def sticky_batches(w: Warehouse) -> DataFrame:
+    """Requests after an export that lost some artists and gained others: whoever stays keeps the batch."""
+    number = F.substring("wikidata_id", 2, 20).cast("int")
+    before = numbering.with_request_batch(w.requested.where(number % 7 != 3).select("wikidata_id"), "wikidata_id", 5)
+    return numbering.sticky_batches(w.requested.where(number % 11 != 4).select("wikidata_id"), "wikidata_id", before, 5)
+
+
 # --- Enrichment ------------------------------------------------------------------------------
 
 
@@ -231,6 +238,39 @@ def annual_resample(w: Warehouse) -> DataFrame:
     return yearly.select("series", "year", F.round("value", 2).alias("value"))
 
 
+def _series_by_nation(w: Warehouse) -> DataFrame:
+    """Yearly order totals of every nation, some years missing."""
+    orders = w.table("orders").join(w.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    year = F.year("o_orderdate")
+    sums = orders.groupBy(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("series"), year.alias("year")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value"))
+    return sums.where((F.col("year") + F.substring("series", 2, 5).cast("int")) % 5 != 0)
+
+
+def series_change(w: Warehouse) -> DataFrame:
+    return economics.series_change(_series_by_nation(w)).withColumn("change_percent", F.round("change_percent", 4))
+
+
+def year_ranges(w: Warehouse) -> DataFrame:
+    """Whether the creation year of a work lies in one of many overlapping ranges of its department."""
+    start = 1900 + F.col("s_suppkey") * 37 % 100
+    ranges = w.table("supplier").select(
+        F.element_at(F.array(*map(F.lit, ("Drawings", "Prints", "Film"))), (F.col("s_suppkey") % 3 + 1).cast("int")).alias("department"),
+        start.alias("first"), (start + F.col("s_nationkey") % 4 - 1).alias("last"))
+    works = w.transformed_artworks.select("artwork_id", "department", "creation_year")
+    return intervals.with_range_flag(works, "creation_year", ranges, "in_range", 8, ["department"])
+
+
+def stats_partitions(w: Warehouse) -> DataFrame:
+    """Statistics written without a part of the works, then brought up to date part by part."""
+    root = scratch_path(w.spark, "statistics")
+    bridge = w.dated_bridge
+    partitions.write_parts(linking.artist_stats(bridge.where("artwork_id % 50 != 0")), f"{root}/t", "artist_id", 16)
+    now = linking.artist_stats(bridge)
+    partitions.update_parts(now, f"{root}/t", "artist_id", 16, f"{root}/new")
+    return partitions.read_parts(w.spark, f"{root}/t", now)
+
+
 def pct_change(w: Warehouse) -> DataFrame:
     return w.staging_economics.select("year", F.round("inflation_rate_percent", 4).alias("inflation_rate_percent"))
 
@@ -475,6 +515,7 @@ QUERIES: dict[str, Build] = {
     "fetch_status": fetch_status,
     "fetch_status_single": fetch_status_single,
     "request_batches": request_batches,
+    "sticky_batches": sticky_batches,
     "enrich_left_join": enrich_left_join,
     "bindings_collect": bindings_collect,
     "raw_responses": raw_responses,
@@ -482,6 +523,9 @@ QUERIES: dict[str, Build] = {
     "year_spine_join": year_spine_join,
     "annual_resample": annual_resample,
     "pct_change": pct_change,
+    "series_change": series_change,
+    "year_ranges": year_ranges,
+    "stats_partitions": stats_partitions,
     "year_classify": year_classify,
     "drop_all_duplicates": drop_all_duplicates,
     "keep_first_duplicate": keep_first_duplicate,
