@@ -2,7 +2,7 @@
 
 Codes: a bounded sample of the vectors is turned by several rotations that are learned by iterative
 quantisation (each brings its axes nearer to the corners of a cube), and every sign of a turned vector is
-a bit. Search: a code is cut into substrings of eight bits. Two codes within a Hamming radius r differ by
+a bit. Search: a code is cut into substrings of eight or sixteen bits. Two codes within a Hamming radius r differ by
 at most r / substrings bits in one substring at least, so looking up all values so near in every substring's
 index finds all codes within r. What is found and within r is ranked by the cosine of its vector.
 
@@ -29,7 +29,7 @@ from starhouse.llm.common import quoted, stored
 
 #: Vectors from which rotations and the radius are learned, and those of them that act as queries.
 SAMPLE, SAMPLE_QUERIES = 4096, 256
-#: Lengths that the vectors of a table may have: each is searched apart.
+#: Lengths of vectors that have an index of their own, the most common ones. Vectors of others are compared exactly.
 MAX_LENGTHS = 64
 #: Bits of a code, at least: as many rotations as are needed.
 BITS = 256
@@ -39,7 +39,6 @@ HELD = 0.99
 #: Queries of a block, and rows that are indexed at once.
 QUERY_BLOCK, INDEX_BLOCK = 2048, 8192
 _ONES = np.array([bin(x).count("1") for x in range(256)])
-_NEAR = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
 
 
 def usable(vec_id: str, vector: str) -> Column:
@@ -91,29 +90,54 @@ def learn_radius(unit: np.ndarray, rotations: np.ndarray, k: int) -> int:
     return int(np.quantile(_distances(code[: len(queries), None, :], code[nearest]), HELD, method="higher"))
 
 
+def probed_share(bits: int, width: int, radius: int) -> float:
+    """Part of unrelated codes that lookups in substrings of so many bits reach."""
+    substrings = bits // width
+    each = sum(math.comb(width, k) for k in range(min(width, radius // substrings) + 1)) / 2**width
+    return 1 - (1 - each) ** substrings
+
+
+def substring_width(bits: int, radius: int) -> int:
+    """8 or 16 bits: that whose lookups reach fewer codes."""
+    return 16 if bits % 16 == 0 and probed_share(bits, 16, radius) < probed_share(bits, 8, radius) else 8
+
+
 class SubstringIndex:
     """The rows of a block by the value of each substring of their codes."""
 
-    def __init__(self, code: np.ndarray) -> None:
-        self.code = code
-        self.order = [np.argsort(part, kind="stable") for part in code.T]
-        self.starts = [np.searchsorted(part[order], np.arange(257)) for part, order in zip(code.T, self.order, strict=True)]
+    def __init__(self, code: np.ndarray, width: int = 8) -> None:
+        self.code, self.width = code, width
+        self.parts = self._cut(code).T
+        self.order = [np.argsort(part, kind="stable") for part in self.parts]
+        self.values = [part[order] for part, order in zip(self.parts, self.order, strict=True)]
 
-    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """Query and row of all pairs of codes that differ in ``radius`` bits at most."""
-        substrings = self.code.shape[1]
-        flips = radius // substrings
+    def _cut(self, code: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(code).view(f"u{self.width // 8}")
+
+    def probed(self, queries: np.ndarray, radius: int) -> np.ndarray:
+        """Whether a lookup of each query (rows) reaches each code: all codes within the radius, and some others.
+
+        Codes within the radius differ in ``radius // substrings`` bits at most in one substring, so all values so near
+        are looked up in each.
+        """
+        flips = radius // len(self.parts)
         found = np.zeros((len(queries), len(self.code)), dtype=bool)
-        if flips >= 8:
+        if flips >= self.width:
             found[:] = True
-        else:
-            for k, (order, starts) in enumerate(zip(self.order, self.starts, strict=True)):
-                for value in np.unique(queries[:, k]).tolist():
-                    probes = np.flatnonzero(_NEAR[value] <= flips).tolist()
-                    rows = np.concatenate([order[starts[x] : starts[x + 1]] for x in probes])
-                    asking = np.flatnonzero(queries[:, k] == value)
-                    found[asking[:, None], rows[None, :]] = True
-        query, row = np.nonzero(found)
+            return found
+        masks = np.flatnonzero(np.bitwise_count(np.arange(1 << self.width)) <= flips).astype(self.parts.dtype)
+        for column, order, values in zip(self._cut(queries).T, self.order, self.values, strict=True):
+            for value in np.unique(column):
+                near = masks ^ value
+                first, last = np.searchsorted(values, near), np.searchsorted(values, near, side="right")
+                sizes = last - first
+                rows = order[np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+                found[np.flatnonzero(column == value)[:, None], rows[None, :]] = True
+        return found
+
+    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Query and row of all pairs of codes that differ in ``radius`` bits at most."""
+        query, row = np.nonzero(self.probed(queries, radius))
         near = np.zeros(len(query), dtype=bool)
         for start in range(0, len(query), 1 << 16):
             part = slice(start, start + (1 << 16))
@@ -136,6 +160,7 @@ def _search(rows: DataFrame, block, rotations: np.ndarray, radius: int, k: int)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries = block.value
+        width = substring_width(rotations.shape[1], radius)
         asked = codes(_unit(queries), rotations)
         for whole in batches:
             for start in range(0, whole.num_rows, INDEX_BLOCK):
@@ -148,7 +173,7 @@ def _search(rows: DataFrame, block, rotations: np.ndarray, radius: int, k: int)
                 group = group.ravel()
                 by_group = np.argsort(group, kind="stable")
                 begin = np.concatenate([[0], np.cumsum(count)])
-                index = SubstringIndex(codes(_unit(vectors[first]), rotations))
+                index = SubstringIndex(codes(_unit(vectors[first]), rotations), width)
                 for at in range(0, len(asked), 256):
                     query, row = index.within(asked[at : at + 256], radius)
                     yield _best(query_ids, queries, query + at, row, vectors[first], ids, by_group, begin, k)
@@ -200,26 +225,65 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
+def _exact(rows: DataFrame, k: int) -> DataFrame:
+    """The k nearest rows of queries by comparing all of a length, in tiles of INDEX_BLOCK candidates and QUERY_BLOCK queries."""
+    rows = stored(rows.withColumn("length", F.size("vector")), "uncommon")
+    queries = rows.filter("__query").groupBy("vec_id", "length").agg(F.min("vector").alias("vector"))
+    one = queries.groupBy("vec_id").agg(F.min(F.struct("vector", "length")).alias("q")).select("vec_id", "q.*")
+    sizes = stored(rows.groupBy("length").agg(
+        F.ceil(F.count("*") / INDEX_BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("__query") / QUERY_BLOCK).cast("int").alias("turns")
+    ).filter("turns > 0"), "sizes")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return df.join(sizes, "length").select("length", mine.alias(own), every.alias(other), "vec_id", "vector")
+
+    def compare(candidates: pa.Table, asked: pa.Table) -> pa.Table:
+        out = []
+        if candidates.num_rows and asked.num_rows:
+            candidates, asked = (x.combine_chunks() for x in (candidates, asked))
+            ids, vectors = candidates["vec_id"].to_numpy(), _matrix(candidates["vector"].chunk(0))
+            for query, vector in zip(asked["vec_id"].to_pylist(), _matrix(asked["vector"].chunk(0)), strict=True):
+                score = cosines(np.broadcast_to(vector, vectors.shape), vectors)
+                order = np.lexsort((ids, -score))
+                order = order[ids[order] != query]
+                order = order[np.sort(np.unique(ids[order], return_index=True)[1])][:k]
+                out.append((np.full(len(order), query), ids[order], score[order]))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, dtype=np.int64)] * 2 + [np.zeros(0)]
+        return pa.table({n: pa.array(x, t) for n, x, t in zip(("query_id", "vec_id", "score"), columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)})
+
+    keys = ["length", "blocks", "turns"]
+    left = dealt(rows.select("length", "vec_id", "vector"), "blocks", "turns")
+    right = dealt(one, "turns", "blocks")
+    left = left.select(*[F.col(x).alias(x) for x in left.columns])
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "query_id long, vec_id long, score double")
+    return _top(found, k).select("query_id", "vec_id", "score", "rank")
+
+
 def nearest(table: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score: the k nearest rows that each query's search finds, by cosine.
 
     ``is_query`` marks queries; candidates are all rows but those of the query's id. Ties go to the smaller vec_id.
     Ids are whole numbers. A row without id, or whose vector is null, empty or zero or has null or non-finite
-    components, takes no part. Vectors of different lengths are never compared; more than
-    MAX_LENGTHS lengths raise an error. Repeated rows count once; of
+    components, takes no part. Vectors of different lengths are never compared; those of lengths beyond the MAX_LENGTHS
+    most common are compared without an index. Repeated rows count once; of
     several vectors of one id, the smallest is the query and the nearest the candidate. An empty table gives no rows.
     """
     spark = table.sparkSession
     rows = table.withColumn("__query", F.coalesce(is_query, F.lit(False))).select(
         quoted(vec_id).cast("long").alias("vec_id"), quoted(vector).cast("array<double>").alias("vector"), "__query"
     ).filter(usable("vec_id", "vector"))
-    lengths = [x[0] for x in rows.select(F.size("vector")).distinct().limit(MAX_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_LENGTHS:
-        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
+    counts = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "length").limit(MAX_LENGTHS + 1).collect()
+    common = {row["length"]: row["n"] for row in counts[:MAX_LENGTHS]}
     parts = []
-    for length in sorted(lengths):
+    if len(counts) > MAX_LENGTHS:
+        parts.append(_exact(rows.filter(~F.size("vector").isin(list(common))), k))
+    for length, n in common.items():
         alike = rows.filter(F.size("vector") == length)
-        sample = alike.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toPandas()["vector"]
+        # About as many as are wanted pass the hash, before any are sorted.
+        few = alike.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n)) < 2 * SAMPLE)
+        sample = few.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toPandas()["vector"]
         unit = _unit(np.array(sample.tolist(), dtype=np.float64))
         rotations = learn_rotations(unit)
         radius = learn_radius(unit, rotations, k)

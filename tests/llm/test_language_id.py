@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -30,6 +31,26 @@ def test_query_learns_languages(spark):
     assert np.mean([x["lang_pred"] == labels[x["doc_id"]] for x in held]) > 0.99
 
 
+def test_predictions_equal_plain_cosines(spark):
+    """Every text against every profile, all made one trigram after the other; ties go to the first language."""
+    rng = random.Random(5)
+    rows = [(k, " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(9))), lang)
+            for k in range(60) for letters, lang in [rng.choice([("abcd", "x"), ("cdéf", "y"), ("語の文", "z"), ("abcd", None)])]]
+    rows += [(100, "abc abd", "t2"), (101, "abc abd", "t1"), (102, "abc", None), (103, "1 2", "x"), (104, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = {}
+    for _, text, lang in rows:
+        if lang and text is not None:
+            profiles[lang] = profiles.get(lang, 0) + plain_bundle(text)
+    found = {x["doc_id"]: x for x in L.predict(docs, L.train(docs)).collect()}
+    for k, text, _ in rows:
+        own = plain_bundle(text or "")
+        cosines = {lang: round(max(0.0, float(own @ p / np.linalg.norm(own) / np.linalg.norm(p))), 9) for lang, p in sorted(profiles.items())} if own.any() else {}
+        best = max(cosines, key=cosines.get) if cosines else "und"
+        assert found[k]["lang_pred"] == best and abs(found[k]["score"] - cosines.get(best, 0.0)) < 1e-8
+    assert found[102]["lang_pred"] == "t1"
+
+
 def test_bundles_are_sums_of_trigrams(monkeypatch):
     texts = ["Ab, c!", "", "12", "été ÉTÉ", "語の文字 mix", "a" * 50 + " bc" * 90]
     for chunk in (1 << 20, 40):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -45,17 +47,39 @@ def test_query_recall_and_scores(spark):
 def test_index_finds_every_code_within_the_radius():
     rng = np.random.default_rng(2)
     code, queries = rng.integers(0, 256, (400, 4), dtype=np.uint8), rng.integers(0, 256, (20, 4), dtype=np.uint8)
-    index = N.SubstringIndex(code)
-    for radius in (0, 3, 7, 9, 15, 32):
+    for radius, width in itertools.product((0, 3, 7, 9, 15, 32), (8, 16)):
+        index = N.SubstringIndex(code, width)
         got = set(zip(*map(list, index.within(queries, radius)), strict=True))
         expected = {(q, k) for q in range(20) for k in range(400) if sum(bin(a ^ b).count("1") for a, b in zip(queries[q].tolist(), code[k].tolist(), strict=True)) <= radius}
         assert got == expected
 
 
-@pytest.mark.parametrize("block", [8192, 16])
-def test_odd_rows(spark, monkeypatch, block):
+def test_lookups_exclude_most_vectors_where_there_is_structure(spark):
+    """The learned radius is small for clustered vectors: a fifth of the codes is reached at most, and nothing is lost."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((80, 32))
+    vectors = centres[rng.integers(0, 80, 4000)] + 0.05 * rng.standard_normal((4000, 32))
+    unit = N._unit(vectors)
+    rotations = N.learn_rotations(unit)
+    radius = N.learn_radius(unit, rotations, 5)
+    code = N.codes(unit, rotations)
+    index = N.SubstringIndex(code, N.substring_width(rotations.shape[1], radius))
+    assert index.probed(code[::50], radius).mean() < 0.2
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    found = {}
+    for x in N.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect():
+        found.setdefault(x["query_id"], set()).add(x["vec_id"])
+    cosines = unit[::50] @ unit.T
+    cosines[np.arange(80), np.arange(0, 4000, 50)] = -2
+    best = np.argsort(-cosines, axis=1)[:, :5]
+    assert np.mean([len(found[50 * q] & set(own.tolist())) / 5 for q, own in enumerate(best)]) >= 0.95
+
+
+@pytest.mark.parametrize("block, lengths", [(8192, 64), (16, 64), (16, 1)])
+def test_odd_rows(spark, monkeypatch, block, lengths):
     """Small tables are searched whole: nulls, zeros, copies, repeated rows and ids, other lengths, extreme sizes."""
     monkeypatch.setattr(N, "INDEX_BLOCK", block)
+    monkeypatch.setattr(N, "MAX_LENGTHS", lengths)
     rng = np.random.default_rng(9)
     rows = [(k, rng.standard_normal(8).tolist()) for k in range(40)] + [(k, [1.0] * 8) for k in range(100, 130)]
     rows += [(200, [1e200] * 7 + [2e200]), (201, [1e-200] * 8), (250, [3.0, 4.0]), (251, [4.0, 3.0]), (300, [1.0])]
