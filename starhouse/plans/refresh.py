@@ -101,11 +101,16 @@ class _Refresh:
             raise quality.QualityError("fewer rows than expected: " + ", ".join(f"{t} {self.written[t].rows}" for t in short))
 
 
-def enrichment_requests(staging_artists: DataFrame) -> DataFrame:
-    """``artist_name, wikidata_id, batch_no`` of every artist with an external id of its own."""
+def enrichment_requests(staging_artists: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``artist_name, wikidata_id, batch_no`` of every artist with an external id of its own.
+
+    With the requests ``before``, whoever was asked for under a number keeps it, and only others are dealt out.
+    """
     found = drop_repeated(enrichment.artists_with_external_id(staging_artists), "wiki_qid")
     asked = found.select(F.col("display_name").alias("artist_name"), F.col("wiki_qid").alias("wikidata_id"))
-    return numbering.with_request_batch(asked, "wikidata_id")
+    if before is None:
+        return numbering.with_request_batch(asked, "wikidata_id")
+    return numbering.sticky_batches(asked, "wikidata_id", before)
 
 
 def run_refresh(
@@ -148,8 +153,11 @@ def run_refresh(
     responses = json.read_documents(spark, sources.responses, "batch_no").withColumn(
         "batch_no", F.col("batch_no").try_cast("bigint")
     )
+    earlier = versions.current(spark, root)
+    # Responses landed for the last set's requests, whose numbers stay as they were.
+    before = None if earlier == root.rstrip("/") else read_table(spark, earlier, "staging_requests")
     run.write({
-        "staging_requests": lambda: enrichment_requests(run.read("staging_artists")),
+        "staging_requests": lambda: enrichment_requests(run.read("staging_artists"), before),
         "transformed_artworks": lambda: artworks.tagged_artworks(run.read("staging_artworks")),
         "bridge_artwork_artist": lambda: linking.tagged_bridge(
             run.read("staging_artworks"), artists.clean_artists(run.read("staging_artists"))
