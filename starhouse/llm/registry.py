@@ -59,6 +59,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null text has size 1 and no checksum: text_crc32 is null. That of an empty text is 0."""
     text = F.col("text")
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),

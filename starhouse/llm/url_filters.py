@@ -72,7 +72,8 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
 
     An entry is active from its time on, up to the next of its pattern and category, that time not included. A
     capture without URL, host or time is covered by nothing. Rows that are equal stay as many as they are. Empty
-    tables work: no captures give no rows, no entries block nothing.
+    tables work: no captures give no rows, no entries block nothing. An entry is a row for each 30 days that it is
+    active before the last capture, so one dated far back costs a row a month.
     """
     kept = columns_but(captures, ("n_rules", "categories", "blocked"))
     rows = captures.select(F.struct(*map(quoted, kept)).alias("row"), quoted(url).alias("url"), quoted(capture_id).alias("capture_id"),
