@@ -37,8 +37,8 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 #: One window in so many is a trigger.
 MODULUS = 16
-#: The bitmap of frequent phrases has 2 ** BITS bits: 8 MB.
-BITS = 26
+#: The bitmap of frequent phrases has 2 ** BITS bits: 2 MB.
+BITS = 24
 #: Bytes of text, or words of chunks, that a task works on at once. A longer text is worked on alone.
 AT_ONCE = 1 << 20
 
@@ -106,6 +106,12 @@ def dictionary(docs: DataFrame, text: str = "text", label: str = "lang", longest
     return narrow.mapInArrow(run, "lang string, chunk string, last boolean").groupBy("lang", "chunk", "last").agg(F.count("*").alias("weight"))
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct whole numbers, and the place of each key among them."""
+    coded = pa.array(keys).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+
+
 class _Words:
     """Lists of words as numbers: tokens (words of a language), their hashes, and where lists begin."""
 
@@ -117,7 +123,7 @@ class _Words:
         names = langs.dictionary_encode()
         self.sizes = np.diff(self.offsets)
         of = np.repeat(names.indices.to_numpy(), self.sizes).astype(np.int64)
-        distinct, self.tokens = np.unique(of * max(len(coded.dictionary), 1) + coded.indices.to_numpy(), return_inverse=True)
+        distinct, self.tokens = _numbered(of * max(len(coded.dictionary), 1) + coded.indices.to_numpy())
         lang, word = np.divmod(distinct, max(len(coded.dictionary), 1))
         self.lang, self.word = names.dictionary.take(pa.array(lang)), coded.dictionary.take(pa.array(word))
         raw = b" ".join(x.as_py().encode() for x in coded.dictionary)
@@ -183,15 +189,16 @@ def _counts(chunks: DataFrame, size: int, window: int, shorter: Callable[[], np.
                 fits &= known & np.append(known[1:], False)
             at = np.flatnonzero(fits)
             weights = np.repeat(weight, words.sizes)[at]
-            # A phrase's number grows by a word at a time; numbers are made dense in between, so that they fit.
-            key, firsts = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-            for k in range(size):
-                distinct, firsts, key = np.unique(key * len(words.word) + words.tokens[at + k], return_index=True, return_inverse=True)
             if not len(at):
                 continue
-            order = np.argsort(key, kind="stable")
-            sums = np.add.reduceat(weights[order], np.searchsorted(key[order], np.arange(len(distinct))))
-            tokens = [words.tokens[at[firsts] + k] for k in range(size)]
+            # A phrase's number grows by a word at a time; numbers are made dense in between, so that they fit.
+            distinct, key = _numbered(words.tokens[at])
+            tokens = [distinct]
+            for k in range(1, size):
+                distinct, key = _numbered(key * len(words.word) + words.tokens[at + k])
+                before, token = np.divmod(distinct, len(words.word))
+                tokens = [*[x[before] for x in tokens], token]
+            sums = np.bincount(key, weights, len(distinct)).astype(np.int64)  # far below 2 ** 53 in one task
             phrase = pc.binary_join_element_wise(*[words.word.take(pa.array(x)) for x in tokens], " ")
             yield pa.RecordBatch.from_arrays([words.lang.take(pa.array(tokens[0])), phrase, pa.array(sums, pa.int64())], names=["lang", "phrase", "f"])
 
