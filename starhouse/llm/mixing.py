@@ -188,5 +188,7 @@ def cyclic_weights(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1)) -> Da
 
 
 def repeated(mixed: DataFrame, names: list[str]) -> DataFrame:
-    """Columns ``names`` of a mix, each row as often as it has copies."""
-    return mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*map(quoted, names))
+    """Columns ``names`` of a mix, whatever their names, each row as often as it has copies."""
+    turn = "_" + max(names, key=len)  # a name that no column has
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(turn)
+    return mixed.filter("copies > 0").select(*map(quoted, names), each).drop(turn)

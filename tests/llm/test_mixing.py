@@ -94,3 +94,9 @@ def test_nothing_to_take(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     mixed = M.mix(docs, M.capped_targets(M.cyclic_weights(M.sizes(docs)))).collect()
     assert [x["taken"] for x in mixed] == [0] * len(rows)
+
+
+def test_copies_keep_columns_of_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "mine", 2, 0.5), (2, "yours", 0, None), (3, None, 1, 1.5)], "doc_id long, copy string, copies int, `a.b` double")
+    names = ["doc_id", "copy", "a.b"]
+    assert sorted(map(tuple, M.repeated(docs, names).collect()), key=repr) == [(1, "mine", 0.5), (1, "mine", 0.5), (3, None, 1.5)]
