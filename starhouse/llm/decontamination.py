@@ -10,7 +10,8 @@ there, as every other character has bytes of 0x80 and more only.
 
 The automaton never outgrows a task: items are cut into pieces of at most PIECE words, which overlap by
 a window less one, and pieces go to as many automata as keep each near BLOCK words. A task holds one
-automaton and one batch of documents at a time; documents are not shuffled.
+automaton and one batch of documents at a time; documents are not shuffled. Each further automaton takes a pass of its
+own over the written documents, of which rows with hits are kept by number.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ from starhouse.llm.common import columns_but, quoted, slices, stored
 WINDOW = 13
 PIECE = 2_000
 BLOCK = 200_000
-#: Documents that a task holds at a time where there are several blocks.
-HELD = 10_000
 _LOWER = bytes(x + 32 if 65 <= x <= 90 else 32 if x < 48 or 58 <= x <= 96 or 123 <= x <= 127 else x for x in range(256))
 
 RESULT = T.StructType([
@@ -197,44 +196,42 @@ def pieces(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame
     return rows.mapInArrow(cut, "item string, piece long, words binary, n_words long").distinct()
 
 
-class _Searcher:
-    """Finds the windows of a benchmark in batches of texts.
-
-    The pieces are a written table of ``n`` blocks of about BLOCK words, each a broadcast of its own: one automaton's worth.
-    Blocks are taken one after the other, each automaton once for all the documents that a task holds at a time.
-    """
+class _Benchmark:
+    """The pieces of a benchmark as a written table of ``n`` blocks of about BLOCK words: one automaton's worth each."""
 
     def __init__(self, benchmark: DataFrame, item: str, text: str, window: int) -> None:
-        spark = benchmark.sparkSession
         cut = stored(pieces(benchmark, item, text, window), "pieces")
         total = cut.agg(F.sum("n_words")).first()[0] or 0
-        n = max(1, math.ceil(total / BLOCK))
-        block = F.pmod(F.xxhash64("item", "piece"), F.lit(n))
-        self.window = window
-        self.blocks = [
-            spark.sparkContext.broadcast([(x["item"], bytes(x["words"])) for x in cut.filter(block == k).select("item", "words").collect()])
-            for k in range(n)
-        ]
-
-    def searched(self, batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple]:
-        """For each batch: itself, its texts, their numbers of words, hit spans (merged), and items found."""
-        only = Automaton.of(self.blocks[0].value, self.window) if len(self.blocks) == 1 else None
-        # With one automaton little is held; with many, batches are as large as memory allows, so that few are built anew.
-        for batch in slices(batches, 512 if only else HELD):
-            texts = batch.column(place).to_pylist()
-            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-            items: list[set[str]] = [set() for _ in texts]
-            counts = [0] * len(texts)
-            for block in self.blocks:
-                automaton = only or Automaton.of(block.value, self.window)
-                for k, value in enumerate(texts):
-                    if value:
-                        found = words(value)
-                        counts[k] = len(found)
-                        hit, owners = automaton.spans(found)
-                        spans[k] += hit
-                        items[k] |= owners
-            yield batch, texts, counts, list(map(merged, spans)), items
+        self.n, self.window = max(1, math.ceil(total / BLOCK)), window
+        self.pieces = cut.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(self.n)))
+
+    def block(self, k: int):
+        """A broadcast of one block: its size is bounded, and a pass over the documents has only one."""
+        rows = self.pieces.filter(F.col("block") == k).select("item", "words").collect()
+        return self.pieces.sparkSession.sparkContext.broadcast([(x["item"], bytes(x["words"])) for x in rows])
+
+
+def _searched(batches: Iterator[pa.RecordBatch], place: int, block, window: int) -> Iterator[tuple]:
+    """For each batch: itself, its texts, their numbers of words, hit spans (merged), and items found. One automaton per task."""
+    automaton = Automaton.of(block.value, window)
+    for batch in slices(batches):
+        texts = batch.column(place).to_pylist()
+        split = [words(value) for value in texts]
+        found = [automaton.spans(own) for own in split]
+        yield batch, texts, list(map(len, split)), [merged(hit) for hit, _ in found], [owners for _, owners in found]
+
+
+_HITS = pa.struct([
+    ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
+    ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+])
+
+
+def _hits(counts: Iterable[int], spans: Iterable, items: Iterable) -> pa.Array:
+    return pa.array([
+        {"n_words": n, "n_hit": sum(last - first + 1 for first, last in hit), "items": sorted(owners),
+         "spans": [{"first": first, "last": last} for first, last in hit]}
+        for n, hit, owners in zip(counts, spans, items, strict=True)], _HITS)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -245,29 +242,56 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
     A window is so many consecutive words of an item; an item of fewer, but not none, is one. A null or empty
     text has no words; null items, and items without id, have no windows. Repeated rows and items count once
-    each in their own row; an empty benchmark hits nothing.
+    each in their own row; an empty benchmark hits nothing. A benchmark of several blocks takes a pass over the
+    written documents for each; what the passes find, rows with hits alone, is put together by the row's number.
     """
-    searcher = _Searcher(benchmark, item, item_text, window)
+    known = _Benchmark(benchmark, item, item_text, window)
     kept = columns_but(docs, ["found"])
     narrow = docs.select(F.struct(*map(quoted, kept)).alias("row"), quoted(text).cast("string").alias("text"))
-    kind = pa.struct([
-        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-    ])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, counts, spans, items in searcher.searched(batches, 1):
-            rows = [
-                {
-                    "n_words": n, "n_hit": sum(last - first + 1 for first, last in hit), "items": sorted(owners),
-                    "spans": [{"first": first, "last": last} for first, last in hit],
-                }
-                for n, hit, owners in zip(counts, spans, items, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["row", "found"])
+        for batch, _, counts, spans, items in _searched(batches, 1, only, window):
+            yield pa.RecordBatch.from_arrays([batch.column(0), _hits(counts, spans, items)], names=["row", "found"])
 
     schema = T.StructType([narrow.schema["row"], T.StructField("found", RESULT)])
-    return narrow.mapInArrow(match, schema).select("row.*", "found")
+    if known.n == 1:
+        only = known.block(0)
+        return narrow.mapInArrow(match, schema).select("row.*", "found")
+    numbered, hits = _passes(narrow, known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            counts = [len(words(x)) for x in batch.column(1).to_pylist()]
+            spans = [merged((x["first"], x["last"]) for x in own or ()) for own in batch.column(2).to_pylist()]
+            items = [set(own or ()) for own in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _hits(counts, spans, items)], names=["row", "found"])
+
+    return numbered.join(hits, "no", "left").select("row", "text", "spans", "items").mapInArrow(count, schema).select("row.*", "found")
+
+
+def _passes(docs: DataFrame, known: _Benchmark) -> tuple[DataFrame, DataFrame]:
+    """``docs``, which have a column text, written with a number for each row, and no, spans and items of rows with hits in any block."""
+    numbered = stored(docs.withColumn("no", F.monotonically_increasing_id()), "documents")
+    parts = []
+    for k in range(known.n):
+        block = known.block(k)
+
+        def match(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for batch, _, _, spans, items in _searched(batches, 1, block, known_window):
+                hit = [bool(x) for x in spans]
+                found = _hits([0] * len(spans), spans, items)
+                columns = [batch.column(0), found.field("spans"), found.field("items")]
+                yield pa.RecordBatch.from_arrays(columns, names=["no", "spans", "items"]).filter(pa.array(hit))
+
+        known_window = known.window
+        rows = numbered.select("no", "text").mapInArrow(match, "no long, spans array<struct<first: int, last: int>>, items array<string>")
+        parts.append(stored(rows, f"hits{k}"))
+        block.destroy()  # before the next one comes
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    hits = every.groupBy("no").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return numbered, stored(hits, "hits")
 
 
 def contaminated(found: str = "found", parts: int = 20):
@@ -307,20 +331,38 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", parts: int
     Documents without a hit stay as they are, null and empty texts too. Each text goes to Python once: what is
     found is cut at once. ``text`` is a column of strings.
     """
-    searcher = _Searcher(benchmark, item, item_text, window)
+    known = _Benchmark(benchmark, item, item_text, window)
     place, size = docs.columns.index(text), docs.columns.index(lengths) if lengths else None
 
+    def cleaned(batch: pa.RecordBatch, texts: list, counts: list[int], spans: list) -> pa.RecordBatch:
+        hits = [sum(last - first + 1 for first, last in own) for own in spans]
+        left = [not n or parts * n < of for n, of in zip(hits, counts, strict=True)]
+        columns = list(batch.columns)
+        if any(n and kept for n, kept in zip(hits, left, strict=True)):
+            new = [cut_spans(value, own) if own and kept else value for value, own, kept in zip(texts, spans, left, strict=True)]
+            columns[place] = pa.array(new, columns[place].type)
+            if size is not None:
+                old = columns[size].to_pylist()
+                columns[size] = pa.array([len(x) if own and kept else n for x, own, kept, n in zip(new, spans, left, old, strict=True)], columns[size].type)
+        return pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(left))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts, counts, spans, _ in searcher.searched(batches, place):
-            hits = [sum(last - first + 1 for first, last in own) for own in spans]
-            left = [not n or parts * n < of for n, of in zip(hits, counts, strict=True)]
-            columns = list(batch.columns)
-            if any(n and kept for n, kept in zip(hits, left, strict=True)):
-                new = [cut_spans(value, own) if own and kept else value for value, own, kept in zip(texts, spans, left, strict=True)]
-                columns[place] = pa.array(new, columns[place].type)
-                if size is not None:
-                    old = columns[size].to_pylist()
-                    columns[size] = pa.array([len(x) if own and kept else n for x, own, kept, n in zip(new, spans, left, old, strict=True)], columns[size].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(left))
-
-    return docs.mapInArrow(cut, docs.schema)
+        for batch, texts, counts, spans, _ in _searched(batches, place, only, window):
+            yield cleaned(batch, texts, counts, spans)
+
+    if known.n == 1:
+        only = known.block(0)
+        return docs.mapInArrow(cut, docs.schema)
+    row = F.struct(*map(quoted, docs.columns)).alias("row")
+    numbered, hits = _passes(docs.select(row, quoted(text).alias("text")), known)
+
+    def cut_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column(place).to_pylist()
+            spans = [merged((x["first"], x["last"]) for x in own or ()) for own in batch.column(batch.num_columns - 1).to_pylist()]
+            own = pa.RecordBatch.from_arrays(batch.columns[:-1], names=docs_columns)
+            yield cleaned(own, texts, [len(words(x)) for x in texts], spans)
+
+    docs_columns = docs.columns
+    joined = numbered.select("row", "no").join(hits.select("no", "spans"), "no", "left").select("row.*", F.col("spans").alias(max(docs_columns, key=len) + "_spans"))
+    return joined.mapInArrow(cut_found, docs.schema)

@@ -79,7 +79,10 @@ def test_empty_tables(spark):
     assert D.clean(docs, bench).columns == ["doc_id", "text"]
 
 
-def test_clean_cuts_spans_and_drops_covered_documents(spark):
+@pytest.mark.parametrize("block", [200_000, 6])
+def test_clean_cuts_spans_and_drops_covered_documents(spark, monkeypatch, block):
+    """With one automaton, and with several in a pass each."""
+    monkeypatch.setattr(D, "BLOCK", block)
     item = " ".join(f"w{k}" for k in range(15))
     long = " ".join(f"x{k}" for k in range(400))
     docs = spark.createDataFrame(
