@@ -9,8 +9,9 @@
 3. Bands of the signature: a class hangs on the smallest class with the same band. The connected
    components of these links are clusters; similar sets are in one cluster with a probability of
    1 - (1 - 0.85^8)^32 > 0.9999 at the threshold, more above it.
-4. Within a cluster all sets are compared in whole. A cluster that outgrows a task is cut into blocks by
-   a hash, and each pair of blocks is a task's work. Tasks give back a spanning set of links.
+4. Within a cluster all sets are compared in whole with that of its smallest id, and those that are not linked with it
+   with all others. A cluster that outgrows a task is cut into blocks by a hash, and each pair of blocks is a task's
+   work. Tasks give back a spanning set of links.
 5. Components of the links, by the smallest id.
 
 Shingles are compared by 64-bit hashes.
@@ -208,18 +209,58 @@ def _links(ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: i
     return [(a, b) for a, b in zip(ids.tolist(), labels.tolist(), strict=True) if a != b]
 
 
-def verified_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """node and least: links within clusters. ``members``: cluster, doc_id and n_shingles of a document per class; ``texts``: doc_id, text."""
-    # A document weighs as many shingles as it has and SMALL: blocks of short documents stay few documents too.
+def _sized(members: DataFrame, name: str) -> DataFrame:
+    """cluster and the number of blocks that its documents fill; a document weighs as many shingles as it has and SMALL."""
     total = F.sum(F.col("n_shingles") + SMALL)
     size = F.greatest(F.lit(LEAST_BLOCK), F.least(F.lit(BLOCK), total / PARTS))
-    weights = members.groupBy("cluster").agg(F.ceil(total / size).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.col("blocks")).cast("int")
-    dealt = stored(members.join(weights, "cluster").select("cluster", "doc_id", "blocks", block.alias("block")), "dealt")
-    mine = texts.join(dealt, "doc_id")
-    # A document goes to each pair of blocks that its own belongs to: as often as its cluster has blocks.
-    pairs = mine.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "doc_id", "text")
+    return members.groupBy("cluster").agg(F.ceil(total / size).cast("int").alias(name))
+
+
+def _in_blocks(members: DataFrame, sizes: DataFrame, blocks: str, seed: int) -> DataFrame:
+    return members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col(blocks)).cast("int"))
+
+
+def _attached(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """node and least: documents linked with the first one of their cluster, whose text goes to all blocks. ``texts`` are those of members."""
+    dealt = _in_blocks(members, _sized(members, "blocks"), "blocks", 11)
+    first = F.col("doc_id") == F.col("cluster")
+    spread = dealt.withColumn("block", F.explode(F.when(first, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))))
+    rows = texts.join(stored(spread.select("cluster", "block", first.alias("first"), "doc_id"), "spread"), "doc_id")
+
+    def compare(group: list[tuple]) -> list[tuple[int, int]]:
+        sets = shingle_sets([row[4] for row in group])
+        heads = [own for row, own in zip(group, sets, strict=True) if row[2]]
+        out = []
+        for row, own in zip(group, sets, strict=True):
+            # Rows of one id may have several texts: one that is linked is enough.
+            if not row[2] and any(100 * (n := len(np.intersect1d(own, x, assume_unique=True))) >= percent * (len(own) + len(x) - n) for x in heads):
+                out.append((row[3], row[0]))
+        return out
+
+    return per_group(rows.select("cluster", "block", "first", "doc_id", "text"), ["cluster", "block"], compare, "node long, least long")
+
+
+def verified_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """node and least: links within clusters. ``members``: cluster, doc_id and n_shingles of a document per class; ``texts``: doc_id, text.
+
+    All are compared with the first of their cluster, its smallest id. Those that it does not reach are then compared with
+    all others: in a family of copies hardly any, so that its cost follows its size and not the square of it.
+    """
+    # Most documents are in no cluster: their texts are left behind once, and not once per step. The join is the same
+    # at every size, where a broadcast would do for small tables alone.
+    texts = stored(texts.hint("merge").join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "clustered")
+    near = stored(_attached(members, texts, percent).distinct(), "attached")
+    open_ones = members.join(near.select(F.col("node").alias("doc_id")), "doc_id", "left_anti").filter("doc_id != cluster")
+    open_ones = stored(open_ones.select("cluster", "doc_id", "n_shingles"), "open")
+    # Blocks of open documents meet blocks of all documents of their cluster, themselves among them.
+    turns = stored(_sized(open_ones, "turns"), "turns")
+    sizes = stored(_sized(members.join(turns, "cluster", "left_semi"), "blocks").join(turns, "cluster"), "sizes")
+    asking = _in_blocks(open_ones, sizes, "turns", 17).select(
+        "doc_id", "cluster", F.col("block").alias("low"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("high"), F.lit(True).alias("asks"))
+    asked = _in_blocks(members, sizes, "blocks", 17).select(
+        "doc_id", "cluster", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("low"), F.col("block").alias("high"), F.lit(False).alias("asks"))
+    dealt = stored(asking.unionByName(asked), "dealt")
+    pairs = texts.join(dealt, "doc_id").select("cluster", "low", "high", "asks", "doc_id", "text")
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) < 2:
@@ -227,7 +268,7 @@ def verified_links(members: DataFrame, texts: DataFrame, percent: int) -> DataFr
         _, _, _, side, ids, own = zip(*rows, strict=True)
         return _links(np.array(ids, dtype=np.int64), np.array(side), shingle_sets(list(own)), percent)
 
-    return per_group(pairs, ["cluster", "low", "high"], compare, "node long, least long")
+    return near.union(per_group(pairs, ["cluster", "low", "high"], compare, "node long, least long"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:

@@ -121,3 +121,16 @@ def test_bands_find_pairs_at_their_threshold():
         rows = N.rows_of_band(percent)
         assert (1 - (percent / 100) ** rows) ** (N.PLACES // rows) < 4e-4
     assert N.rows_of_band(85) == 8 and N.rows_of_band(80) == 7
+
+
+def test_a_tight_family_is_settled_by_its_first_document(spark):
+    """Copies with a changed word are all linked with the first; only what it does not reach is compared any further."""
+    base = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join([*base[:k], f"x{k}", *base[k + 1:]])) for k in range(200)]
+    chain = [(500 + k, " ".join(f"w{j}" for j in range(5 * k, 5 * k + 280))) for k in range(8)]  # each like the next, the last unlike the first
+    texts = spark.createDataFrame(rows + chain, "doc_id long, text string")
+    members = texts.selectExpr("0L as cluster", "doc_id", "296L as n_shingles")
+    near = N._attached(members, texts, 85)
+    assert near.filter("node < 500").count() == 199
+    assert {x["least"] for x in near.collect()} == {0} and near.filter("node >= 500").count() < 8
+    assert rows_of(N.near_duplicates(texts)) == brute(rows + chain)
