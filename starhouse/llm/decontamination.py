@@ -16,7 +16,6 @@ own over the written documents, of which rows with hits are kept by number.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterable, Iterator
 

@@ -13,7 +13,6 @@ decided by a hash of their ids, in cells of bounded size, so no source or size h
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
