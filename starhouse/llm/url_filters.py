@@ -80,8 +80,6 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
                            quoted(fetched).cast("timestamp").alias("fetched"))
     # URL and time are all that decides: what is equal in both is judged once.
     asked = rows.select("url", "fetched").dropna().distinct()
-    # Dealt out again: adaptive execution joins the small parts of a distinct into few, and what follows makes rows of each URL.
-    asked = asked.repartition(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), "url", "fetched")
     keyed = asked.withColumn("pattern", F.explode(patterns_of(F.col("url")))).withColumn("bucket", _bucket(F.col("fetched")))
     spans = intervals(entries)
     # Nothing is asked after the last capture, so open intervals end in its bucket.
