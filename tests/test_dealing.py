@@ -32,3 +32,14 @@ def test_works_meet_links_in_tasks_of_bounded_rows(spark, monkeypatch):
         twice = w.bridge.unionByName(w.bridge.where("artist_id = 1"))
         repeated = w.bridge.where("artist_id = 1").count()
         assert quality.unique(twice, ["artwork_id", "artist_id"], "bridge", w.link_tasks).first()["failures"] == repeated > 0
+
+
+def test_tables_of_a_written_bridge_join_no_links_again(spark):
+    plain = Warehouse(spark, SF_DIR)
+    written = plain.on_written_bridge()
+    for name in ("acquisitions", "transformed_artists", "transformed_geography"):
+        one, two = (getattr(w, name) for w in (plain, written))
+        read = [[x for x in df.inputFiles() if "lineitem" in x] for df in (one, two)]
+        assert read[0] and not read[1]
+        kept = [x for x in one.columns if x not in ("created_at", "transformed_at")]
+        assert values(one, *kept) == values(two, *kept)
