@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from starhouse.llm import language_id as L
 from starhouse.llm.registry import op3_language_id
@@ -78,3 +79,15 @@ def test_empty_tables(spark):
     assert L.train(docs) == {} and L.predict(docs, {}).count() == 0
     one = spark.createDataFrame([(1, "abc", None)], docs.schema)
     assert L.predict(one, {}).select("lang_pred", "score").first() == ("und", 0.0)
+
+
+def test_limits_count_every_labelled_text(spark):
+    """Texts enough that a part of them was looked at before: the lowest cosine of the class is the limit, whichever text has it."""
+    docs = spark.range(41_000).selectExpr(
+        "id as doc_id", "concat('abcd efgh ', case when id = 17 then 'zq zq zq zq' else concat('abcd ', chr(cast(97 + id % 7 as int)), 'bcde') end) as text", "'x' as lang")
+    model = L.train(docs)
+    odd = docs.filter("doc_id = 17")
+    assert odd.filter("pmod(xxhash64(text), 2) = 1").count() == 1
+    cosine = L.predict(odd, model).first()["score"]
+    size = int(np.ceil(np.log2(sum(x.isalpha() for x in odd.first()["text"]) + 1)))
+    assert L.limits(docs, model, lost=1 / 41_000)[size] == pytest.approx(cosine, abs=1e-6)
