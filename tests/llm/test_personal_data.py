@@ -130,6 +130,25 @@ def test_loose_forms_are_found_and_look_alikes_left(spark):
     assert texts[None] == "write to [EMAIL] or [IP]" and texts[5000] is None and "[EMAIL]" in texts[10_000]
 
 
+def test_every_document_teaches(spark, monkeypatch):
+    """Trees and thresholds are those of all lessons laid out in one place, none of them left out."""
+    monkeypatch.setattr(P, "TREES", 4)
+    rng = random.Random(8)
+    rows = [(k, f"{name(rng)} {accepted(rng)} {name(rng)}") for k in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    hashed = docs.selectExpr("text", "shiftright(xxhash64(cast(doc_id as string), text), 20) & 3 = 0 kept").collect()
+    taught = [(x["kept"], *lesson) for x in hashed for lesson in P.lessons(x["text"])]
+    assert sum(x[1] == "email" for x in taught) > 5000
+    kept, kinds = np.array([x[0] for x in taught]), np.array([x[1] for x in taught])
+    x, y = np.array([x[4] for x in taught]), np.array([x[3] for x in taught], dtype=float)
+    whole = P.Trees().fit(x[~kept], y[~kept])
+    model = P.learn(docs)
+    assert all(np.array_equal(a, b) for a, b in zip(model.trees.cuts, whole.cuts, strict=True)) and model.trees.start == whole.start
+    assert np.allclose(model.trees.probability(x), whole.probability(x), atol=1e-4)
+    least = {k: P._threshold(np.floor(model.trees.probability(x[kept & (kinds == k)]) * P.SCORES) / P.SCORES, y[kept & (kinds == k)], P.PRECISION) for k in P.KINDS}
+    assert model.thresholds == {k: v for k, v in least.items() if v is not None}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     model = P.learn(docs)
