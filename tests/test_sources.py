@@ -10,6 +10,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from starhouse import rules
+from starhouse.operators import dealing
 from starhouse.sources import csv as csv_source
 from starhouse.sources import json as json_source
 from starhouse.sources import tables
@@ -86,6 +87,23 @@ def test_split_reading_refuses_other_headers_and_open_quotes(spark, tmp_path, te
         csv_source.read_big_csv_text(spark, str(tmp_path), ["ObjectID", "Title"]).collect()
 
 
+def test_split_reading_holds_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
+    """One block of a file is read as a single one, yet no task gathers it, and quotes run on from chunk to chunk."""
+    monkeypatch.setattr(dealing, "TASK_ROWS", 100)
+    monkeypatch.setattr(csv_source, "CHUNK_LINES", 16)
+    lines = ["ObjectID,Title", *[f'{n},"a\n""b"", line\n\n{n}"' if n % 3 == 0 else f"{n},plain" for n in range(2000)], '2000,"' + "x\n" * 70 + '"']
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    split = csv_source.read_big_csv_text(spark, str(tmp_path), ["ObjectID", "Title"]).cache()
+    whole = csv_source.read_csv_text(spark, str(tmp_path))
+    assert values(split, "ObjectID", "Title", "source_file") == values(whole, "ObjectID", "Title", "source_file")
+    ordered = split.where("source_file = 'b.csv'").orderBy(csv_source.LANDING_ORDER).select("ObjectID").collect()
+    assert [int(row[0]) for row in ordered] == list(range(2001))
+    assert split.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 300
+    assert split._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+    split.unpersist()
+
+
 def test_split_reading_equals_whole_reading_or_stops(spark, tmp_path):
     """Random files of all kinds of fields: either both readers agree, or the splitting one stops and says why."""
     rng = random.Random(12)
